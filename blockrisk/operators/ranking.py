@@ -25,8 +25,11 @@ def _range_count(df: DataFrame) -> int:
 
 
 def _cut_points(df: DataFrame, keys: Sequence[str], ranges: int, sample: int) -> Column:
-    smallest = df.select(*keys).orderBy(F.xxhash64(*keys)).limit(sample)
-    ordered = F.array_sort(F.collect_list(F.struct(*keys)))
+    # The whole row is sampled: a narrower one would make the optimizer plan, and run,
+    # a second copy of the aggregation under ``df`` instead of reusing its shuffle.
+    smallest = df.orderBy(F.xxhash64(*keys)).limit(sample)
+    rows = F.collect_list(F.struct(*df.columns))
+    ordered = F.array_sort(F.transform(rows, lambda r: F.struct(*[r[k].alias(k) for k in keys])))
     step = F.greatest(F.ceil(F.size(ordered) / F.lit(ranges)), F.lit(1))
     return smallest.agg(F.filter(ordered, lambda _k, i: (i % step) == 0).alias("cuts")).scalar()
 

@@ -125,20 +125,27 @@ class PolygonCover:
             return points.withColumn(self.key, F.lit(None).cast("string")).limit(0)
         if strategy == "auto":
             strategy = "broadcast" if self.size_bytes <= broadcast_bytes else "shuffle"
-        keyed = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-        if len(self.levels) == 1:
-            keyed = keyed.withColumn("_level", F.lit(self.levels[0]))
-        else:
-            keyed = keyed.withColumn("_level", F.explode(F.array(*map(F.lit, self.levels))))
-        keyed = keyed.withColumn("_cx", _index(F.col(x), F.col("_level"))).withColumn(
-            "_cy", _index(F.col(y), F.col("_level"))
+        # Points go through a generator even with one level: filters that the join implies
+        # on cell and coordinates then stop there, and text is parsed once, not per filter.
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(level).alias("_level"),
+                    _index(F.col(x), F.lit(level)).alias("_cx"),
+                    _index(F.col(y), F.lit(level)).alias("_cy"),
+                    F.col(x).alias("_px"),
+                    F.col(y).alias("_py"),
+                )
+                for level in self.levels
+            ]
         )
+        keyed = points.select("*", F.inline(cells))
         on = ["_level", "_cx", "_cy"]
         if strategy == "broadcast":
             joined = keyed.join(F.broadcast(self.rows), on)
         else:
-            joined = _salted_join(keyed, self.rows, on, F.xxhash64(x, y))
-        px, py = F.col(x), F.col(y)
+            joined = _salted_join(keyed, self.rows, on, F.xxhash64("_px", "_py"))
+        px, py = F.col("_px"), F.col("_py")
         in_box = (
             (px > F.col("_xmin")) & (px < F.col("_xmax"))
             & (py > F.col("_ymin")) & (py < F.col("_ymax"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,19 +27,28 @@ def build_session(app: str = "blockrisk", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which every executor can read.
 
     Only a local session without that setting gets a folder of its own; on a
     cluster a machine-local folder would not survive the loss of an executor.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return tempfile.mkdtemp(prefix="blockrisk-")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: cuts lineage where several results read one costly input."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="blockrisk-", dir=os.environ.get("TMPDIR"))
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

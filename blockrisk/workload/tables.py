@@ -45,13 +45,7 @@ def _y(index: str, offset: str) -> str:
 
 
 def _point_text(x: str, y: str) -> str:
-    """``(lat, lon)``; x is negative with three leading digits, y has two."""
-    return (
-        f"'(' || CAST(CAST(floor({y} / 1000000) AS BIGINT) AS STRING) || '.' || "
-        f"lpad(CAST({y} % 1000000 AS STRING), 6, '0') || ', -' || "
-        f"CAST(CAST(floor((0 - {x}) / 1000000) AS BIGINT) AS STRING) || '.' || "
-        f"lpad(CAST((0 - {x}) % 1000000 AS STRING), 6, '0') || ')'"
-    )
+    return f"'(' || CAST({y} / 1e6 AS STRING) || ', ' || CAST({x} / 1e6 AS STRING) || ')'"
 
 
 def _pick(values: list[str], index: str) -> str:
