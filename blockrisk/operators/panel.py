@@ -73,19 +73,52 @@ def shift_to_target(
     )
 
 
-def add_target(
-    panel: DataFrame,
+def pair_with_next_year(
+    counts: DataFrame,
+    names: Mapping[str, str],
+    keys: Sequence[str] = (BLOCK, YEAR),
+) -> DataFrame:
+    """Counts of a year and, as targets, those of the year after in one row per key.
+
+    Each row goes out under its own year and the year before, and rows of a key
+    are folded: ``counts``, with whatever spatial join is under it, runs once,
+    where a self-join would run it twice. Keys present only through the year
+    after have null counts.
+    """
+    block, year = keys
+    measures = [c for c in counts.columns if c not in keys]
+    types = {c: counts.schema[c].dataType for c in measures}
+    own = F.struct(
+        F.col(year).alias(year),
+        *[F.col(c).alias(c) for c in measures],
+        *[F.lit(None).cast(types[c]).alias(t) for c, t in names.items()],
+    )
+    before = F.struct(
+        (F.col(year) - 1).alias(year),
+        *[F.lit(None).cast(types[c]).alias(c) for c in measures],
+        *[F.col(c).alias(t) for c, t in names.items()],
+    )
+    folded = [*measures, *names.values()]
+    return counts.select(block, F.inline(F.array(own, before))).groupBy(block, year).agg(
+        *[F.max(c).alias(c) for c in folded]
+    )
+
+
+def join_counts_and_targets(
+    spine: DataFrame,
     counts: DataFrame,
     names: Mapping[str, str],
     last_complete_year: int | None = None,
     keys: Sequence[str] = (BLOCK, YEAR),
 ) -> DataFrame:
-    """Next-year counts beside each panel row.
+    """Counts, zeros filled, and next-year targets beside each row of the spine.
 
     With ``last_complete_year`` the next year counts as observed up to there: a
     miss then means no event (0), and later years stay null.
     """
-    joined = panel.join(shift_to_target(counts, names, keys), list(keys), "left")
+    paired = pair_with_next_year(counts, names, keys)
+    measures = [c for c in counts.columns if c not in keys]
+    joined = left_fill(spine, paired, keys, fill=measures)
     if last_complete_year is None:
         return joined
     known = F.col(keys[1]) + 1 <= last_complete_year

@@ -51,13 +51,16 @@ def running_totals(
     valued = df.withColumns({f"_v_{name}": c for name, c in values.items()})
     ranged = valued.withColumn("_cuts", cuts).withColumn(
         "_range", F.size(F.filter("_cuts", lambda c: c <= F.struct(*keys)))
-    ).drop("_cuts")
+    ).drop("_cuts").repartition("_range")
+    # The checksum reads every column, so that this aggregate and the window below ask
+    # for the same shuffle and it runs once.
     per_range = ranged.groupBy("_range").agg(
-        *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in values]
+        *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in values],
+        F.bit_xor(F.xxhash64(*df.columns)).alias("_check"),
     )
     # At most ranges + 1 rows, folded into one row and spread out again with their offsets.
     parts = per_range.agg(
-        F.collect_list(F.struct("_range", *[f"_s_{n}" for n in values])).alias("_p")
+        F.collect_list(F.struct("_range", "_check", *[f"_s_{n}" for n in values])).alias("_p")
     )
 
     def earlier(name: str) -> Column:
@@ -122,9 +125,13 @@ def quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float]) ->
 
 
 def below_quantile(df: DataFrame, column: str, probability: float) -> DataFrame:
-    """Rows strictly below the quantile of their own column."""
-    limit = quantiles(df, column, {"q": probability}).scalar()
-    return df.filter(F.col(column) < limit)
+    """Rows strictly below the quantile of their own column.
+
+    The quantile, one number, is computed first: as a literal it reaches the scan,
+    and a chain of such filters does not nest one plan inside the next.
+    """
+    limit = quantiles(df, column, {"q": probability}).first()["q"]
+    return df.filter(F.col(column) < F.lit(limit))
 
 
 def top_k(df: DataFrame, by: str, n: int, *tie_break: str) -> DataFrame:

@@ -78,35 +78,39 @@ class PolygonCover:
             F.collect_set("_level").alias("levels"),
             F.sum(cells * (F.lit(96) + F.size("_edges") * 40)).alias("bytes"),
         ).first()
-        covered = (
-            shapes.withColumn("_cx", F.explode(_span("_xmin", "_xmax", level)))
-            .withColumn("_cy", F.explode(_span("_ymin", "_ymax", level)))
-            .withColumn("_x0", F.col("_cx") * _cell(level))
-            .withColumn("_y0", F.col("_cy") * _cell(level))
-            .withColumn("_x1", (F.col("_cx") + 1) * _cell(level))
-            .withColumn("_y1", (F.col("_cy") + 1) * _cell(level))
-            .withColumn(
+        def in_cell(cx: Column, cy: Column) -> Column:
+            x0, y0, y1 = cx * _cell(level), cy * _cell(level), (cy + 1) * _cell(level)
+            near = F.filter(
                 "_edges",
-                F.filter(
-                    "_edges",
-                    lambda e: (F.greatest(e["y1"], e["y2"]) >= F.col("_y0"))
-                    & (F.least(e["y1"], e["y2"]) <= F.col("_y1"))
-                    & (F.greatest(e["x1"], e["x2"]) >= F.col("_x0")),
-                ),
-            )
-            .withColumn(
-                "_whole",
-                ~F.exists("_edges", lambda e: F.least(e["x1"], e["x2"]) <= F.col("_x1")),
+                lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
+                & (F.least(e["y1"], e["y2"]) <= y1)
+                & (F.greatest(e["x1"], e["x2"]) >= x0),
             )
+            return F.struct(cx.alias("_cx"), cy.alias("_cy"), near.alias("_near"))
+
+        # Edges are cut to the cell before the rows fan out, so each list is built once.
+        across = _span("_xmin", "_xmax", level)
+        upward = _span("_ymin", "_ymax", level)
+        cut = F.flatten(
+            F.transform(across, lambda cx: F.transform(upward, lambda cy: in_cell(cx, cy)))
+        )
+        covered = shapes.select(
+            key, "_level", "_xmin", "_xmax", "_ymin", "_ymax", F.inline(cut)
+        ).withColumn(
+            "_whole",
+            ~F.exists(
+                "_near",
+                lambda e: F.least(e["x1"], e["x2"]) <= (F.col("_cx") + 1) * _cell(level),
+            ),
         )
         middle = G.odd_crossings(
-            F.col("_edges"),
-            (F.col("_x0") + F.col("_x1")) / 2,
-            (F.col("_y0") + F.col("_y1")) / 2,
+            F.col("_near"),
+            (F.col("_cx") + 0.5) * _cell(level),
+            (F.col("_cy") + 0.5) * _cell(level),
         )
         rows = covered.filter(~F.col("_whole") | middle).select(
             key, "_level", "_cx", "_cy", "_xmin", "_xmax", "_ymin", "_ymax", "_whole",
-            F.when(~F.col("_whole"), F.col("_edges")).otherwise(
+            F.when(~F.col("_whole"), F.col("_near")).otherwise(
                 F.array().cast(G.EDGES)
             ).alias("_edges"),
         )

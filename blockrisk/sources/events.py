@@ -94,7 +94,7 @@ def fires_per_block_year(points: DataFrame, blocks: DataFrame, cover: PolygonCov
 
 def fires_with_target(fires: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Fires of a block-year beside those of the year after, where that year is present."""
-    return P.add_target(fires, fires, names)
+    return P.pair_with_next_year(fires, names).na.drop(subset=list(names))
 
 
 def per_block(

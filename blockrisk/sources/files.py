@@ -126,14 +126,15 @@ def read_scoring_set(spark: SparkSession, path: str, target_year: int, year: str
     return spark.read.parquet(path).filter(F.col(year) == target_year)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
+def spread_small_scan(df: DataFrame, by: str) -> DataFrame:
     """Deals the rows of a few files over all cores.
 
     Only for scans with fewer files than cores, which would leave cores idle in
     the join that follows; a large table has many files and is left as it is.
+    Dealing by a column's hash needs no sort to be repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, by) if len(df.inputFiles()) < cores else df
 
 
 def timestamp_column(df: DataFrame, name: str, parse: Callable[[Column], Column]) -> Column:

@@ -367,7 +367,7 @@ _TYPE_SQL = _share_sql("Construction Type", _TYPES | {"S": property.MERGED_TYPES
 _TYPE_SQL_ALL = _share_sql("Construction Type", _TYPES | {"S": [*property.MERGED_TYPES, "?"]})
 SHARES = [*property.USE_CODES, *property.TYPE_CODES, "S"]
 SHARE_KINDS = ", ".join(f"{c} f" for c in SHARES)
-MEAN_KINDS = ", ".join(f"{c} m" for c in property.MEANS)
+MEAN_KINDS = ", ".join(f"{c} a" for c in property.MEANS)
 
 PROPERTY_SQL = f"""
     property_p AS (SELECT *, "Closed Roll Year" + 1 AS "Year", {T.point_columns_sql('the_geom')}
@@ -406,7 +406,7 @@ PROPERTY_BLOCK_SQL = f"""
                        CASE WHEN {' + '.join(f'"{c}"' for c in [*property.TYPE_CODES, 'S'])} = 0
                             THEN 1 ELSE 0 END AS "UnkownStructureType" FROM roll_d)"""
 ROLL_KINDS = (
-    "Number of Units m, " + ", ".join(f"{c} m" for c in _BLOCK_MEANS)
+    "Number of Units m, " + ", ".join(f"{c} a" for c in _BLOCK_MEANS)
     + f", {SHARE_KINDS}, UnkownUseType i, UnkownStructureType i"
 )
 
@@ -543,5 +543,4 @@ def _(spark, d):
 def _(spark, d):
     counts = events.per_block_year(points(spark, d, "fires"), cover(spark, d))
     spine = P.year_spine(T.blocks(spark, d).select("GISJOIN"), FIRST, LAST)
-    panel = P.left_fill(spine, counts, ["GISJOIN", P.YEAR])
-    return P.add_target(panel, counts, features.TARGETS, LAST)
+    return P.join_counts_and_targets(spine, counts, features.TARGETS, LAST)

@@ -1,7 +1,8 @@
 """Where queries register: a builder, its SQL twin and the result's columns.
 
 A result is declared as ``name kind`` pairs: ``s`` text, ``i`` integer, ``f``
-number to six places, ``m`` number to two. Both sides are cast alike.
+number to six places, ``a`` to eight, ``m`` to two. Averages of amounts need the eight:
+their halves and quarters fall on a rounding tie at fewer. Both sides are cast alike.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
-_PLACES = {"f": 6, "m": 2}
+_PLACES = {"f": 6, "a": 8, "m": 2}
 
 
 def _parse(columns: str) -> list[tuple[str, str]]:

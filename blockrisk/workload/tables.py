@@ -10,9 +10,11 @@ outside the city, and grows north with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockrisk.sources.files import spread_small_scan
+
 CELL = 2800
 QUARTER = CELL // 4
 ACROSS = 64
@@ -229,7 +231,8 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_small_scan(df, df.columns[0])
 
 
 def logical(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -245,26 +248,26 @@ def table_sql(name: str) -> str:
     return f"SELECT {body} FROM {source}"
 
 
-def _rings(shape: list[list[tuple[int, int]]]) -> Column:
-    def vertex(qx: int, qy: int) -> Column:
-        return F.struct(
-            ((F.col("x") + qx * QUARTER) / F.lit(1e6)).alias("x"),
-            ((F.col("y") + qy * QUARTER) / F.lit(1e6)).alias("y"),
+def _rings(shape: list[list[tuple[int, int]]]) -> str:
+    def vertex(qx: int, qy: int) -> str:
+        return (
+            f"named_struct('x', (x + {qx * QUARTER}) / 1e6, 'y', (y + {qy * QUARTER}) / 1e6)"
         )
 
-    return F.array(*[F.array(*[vertex(*v) for v in ring]) for ring in shape])
+    rings = ["array(" + ", ".join(vertex(*v) for v in ring) + ")" for ring in shape]
+    return "array(" + ", ".join(rings) + ")"
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Census blocks with rings in degrees."""
-    rings = F.when(F.col("shape") == 0, _rings(SHAPES[0]))
-    for i in (1, 2, 3):
-        rings = rings.when(F.col("shape") == i, _rings(SHAPES[i]))
-    return logical(spark, folder, "census_blocks").withColumn("rings", rings).drop("shape", "x", "y")
+    whens = " ".join(f"WHEN {i} THEN {_rings(shape)}" for i, shape in enumerate(SHAPES))
+    raw = logical(spark, folder, "census_blocks")
+    return raw.withColumn("rings", F.expr(f"CASE shape {whens} END")).drop("shape", "x", "y")
 
 
 def tracts(spark: SparkSession, folder: str) -> DataFrame:
-    return logical(spark, folder, "tracts").withColumn("rings", _rings(TRACT)).drop("x", "y")
+    raw = logical(spark, folder, "tracts")
+    return raw.withColumn("rings", F.expr(_rings(TRACT))).drop("x", "y")
 
 
 def parcels(spark: SparkSession, folder: str) -> DataFrame:
