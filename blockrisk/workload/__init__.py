@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["cleaning", "geography"]
+MODULES = ["cleaning", "geography", "panels"]
 
 
 def load():
