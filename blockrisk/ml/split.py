@@ -39,9 +39,10 @@ def feature_names(df: DataFrame, without: Sequence[str] = ()) -> list[str]:
 
 
 def hash_split(df: DataFrame, key: str, test_share: float = 0.3) -> DataFrame:
-    """``is_test`` from the key's hash: the same rows on every run and every layout."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(10_000))
-    return df.withColumn("is_test", (bucket < int(test_share * 10_000)).cast("int"))
+    """``is_test`` from the key's digest: the same rows on every run and every layout."""
+    limit = format(int(test_share * 16**8), "08x")
+    digest = F.left(F.md5(F.col(key).cast("string")), F.lit(8))
+    return df.withColumn("is_test", (digest < limit).cast("int"))
 
 
 def random_split(df: DataFrame, test_share: float = 0.3, seed: int = 0) -> tuple[DataFrame, DataFrame]:

@@ -7,36 +7,36 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockrisk.ml.pipelines import scored
 from blockrisk.ml.split import stratified_folds
 from blockrisk.operators.ranking import row_numbers
-from blockrisk.plans.evaluation import roc_auc
+from blockrisk.session import materialize
 
 PARALLELISM = 4
 
 
+def area_evaluator() -> BinaryClassificationEvaluator:
+    """Area under the ROC curve; ``numBins=0`` makes it exact."""
+    return BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+
+
 def grid_search(
     pipeline: Pipeline, grid: list[dict], train: DataFrame, key: str,
     folds: int = 5, parallelism: int = PARALLELISM,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Model refitted with the best parameters, and the mean area per candidate.
-
-    ``numBins=0`` makes the evaluator's area exact.
-    """
+    """Model refitted with the best parameters, and the mean area per candidate."""
     search = CrossValidator(
         estimator=pipeline, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-        parallelism=parallelism,
+        evaluator=area_evaluator(), parallelism=parallelism,
     )
-    fitted = search.fit(stratified_folds(train, key, folds=folds))
+    fitted = search.fit(materialize(stratified_folds(train, key, folds=folds)))
     rows = [
         (", ".join(sorted(f"{p.name}={v}" for p, v in params.items())), float(mean), float(std))
         for params, mean, std in zip(grid, fitted.avgMetrics, fitted.stdMetrics)
     ]
-    table = SparkSession.active().createDataFrame(
+    table = train.sparkSession.createDataFrame(
         rows, "parameters string, mean_auc double, std_auc double"
     )
     return fitted.bestModel, table
@@ -52,8 +52,9 @@ def learning_curve(
     The sizes are nested: each takes the first rows, in key order, of the fold's
     training part. A size with a single label gives no model and no figure.
     """
-    folded = stratified_folds(train, key, folds=folds)
-    points = None
+    folded = materialize(stratified_folds(train, key, folds=folds))
+    evaluator = area_evaluator()
+    points = []
     for fold in range(folds):
         held = folded.filter(F.col("fold") == fold)
         rest = row_numbers(folded.filter(F.col("fold") != fold), [key], "_row").persist()
@@ -64,22 +65,20 @@ def learning_curve(
             if part.agg(F.count_distinct("label")).first()[0] < 2:
                 continue
             model = pipeline.fit(part)
-            columns = ["label"]
-            areas = [
-                roc_auc(scored(model, side, columns), "score").withColumn("side", F.lit(name))
-                for name, side in (("train", part), ("validation", held))
-            ]
-            both = areas[0].unionByName(areas[1]).select(
-                F.lit(fraction).alias("fraction"), F.lit(size).alias("rows"), "side", "auc"
-            )
-            # Two figures per model: collected so that the folds' data can be released.
-            found = SparkSession.active().createDataFrame(both.collect(), both.schema)
-            points = found if points is None else points.unionByName(found)
+            points.append((
+                float(fraction), size,
+                float(evaluator.evaluate(model.transform(part))),
+                float(evaluator.evaluate(model.transform(held))),
+            ))
         rest.unpersist()
-    return points.groupBy("fraction").agg(
+    # One row per model fitted.
+    table = train.sparkSession.createDataFrame(
+        points, "fraction double, rows long, train double, validation double"
+    )
+    return table.groupBy("fraction").agg(
         F.round(F.avg("rows")).cast("long").alias("rows"),
         *[
-            f(F.when(F.col("side") == side, F.col("auc"))).alias(f"{side}_{name}")
+            f(side).alias(f"{side}_{name}")
             for side in ("train", "validation")
             for name, f in (("mean", F.avg), ("std", F.stddev_pop))
         ],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["cleaning", "geography", "panels"]
+MODULES = ["cleaning", "geography", "panels", "models"]
 
 
 def load():
