@@ -2,6 +2,9 @@
 
 All rings of one shape, outer ones and holes alike, go into a single edge array:
 the parity of ray crossings then gives holes and several parts their meaning.
+
+Higher-order functions read best as SQL text, so the builders here take and give
+text; arguments are column names or expressions.
 """
 
 from __future__ import annotations
@@ -16,137 +19,114 @@ RINGS = f"array<array<{POINT}>>"
 EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
-def ring_edges(ring: Column) -> Column:
-    """Consecutive vertex pairs; an open ring is closed first."""
-    closed = F.when(
-        F.element_at(ring, 1) == F.element_at(ring, -1), ring
-    ).otherwise(F.concat(ring, F.slice(ring, 1, 1)))
-    return F.transform(
-        F.slice(closed, F.lit(1), F.greatest(F.size(closed) - 1, F.lit(0))),
-        lambda p, i: F.struct(
-            p["x"].alias("x1"),
-            p["y"].alias("y1"),
-            F.get(closed, i + 1)["x"].alias("x2"),
-            F.get(closed, i + 1)["y"].alias("y2"),
-        ),
+def ring_edges(ring: str) -> str:
+    """Vertices paired with their successors, the last with the first."""
+    following = (
+        f"concat(slice({ring}, 2, greatest(size({ring}) - 1, 0)), slice({ring}, 1, 1))"
     )
+    return (
+        f"zip_with({ring}, {following}, (p, q) -> "
+        "named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y))"
+    )
+
 
+def edges_of(rings: str) -> str:
+    """Edges of all rings; a closed ring's repeated vertex gives an edge of no length, left out."""
+    edges = f"flatten(transform({rings}, r -> {ring_edges('r')}))"
+    return f"filter({edges}, e -> e.x1 <> e.x2 or e.y1 <> e.y2)"
 
-def edges_of(rings: Column) -> Column:
-    return F.flatten(F.transform(rings, ring_edges))
 
+def bounds_of(rings: str) -> dict[str, str]:
+    def all_of(axis: str) -> str:
+        return f"flatten(transform({rings}, r -> transform(r, p -> p.{axis})))"
 
-def bounds_of(rings: Column) -> dict[str, Column]:
-    xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))
-    ys = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["y"])))
     return {
-        "xmin": F.array_min(xs),
-        "xmax": F.array_max(xs),
-        "ymin": F.array_min(ys),
-        "ymax": F.array_max(ys),
+        "xmin": f"array_min({all_of('x')})",
+        "xmax": f"array_max({all_of('x')})",
+        "ymin": f"array_min({all_of('y')})",
+        "ymax": f"array_max({all_of('y')})",
     }
 
 
-def _crosses(e: Column, px: Column, py: Column) -> Column:
-    x_at = F.try_divide((e["x2"] - e["x1"]) * (py - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
-    return ((e["y1"] > py) != (e["y2"] > py)) & (px < F.coalesce(x_at, e["x1"]))
+def ring_starts(rings: str) -> str:
+    return f"transform({rings}, r -> element_at(r, 1))"
 
 
-def _on_edge(e: Column, px: Column, py: Column) -> Column:
-    return (
-        ((e["x2"] - e["x1"]) * (py - e["y1"]) == (e["y2"] - e["y1"]) * (px - e["x1"]))
-        & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    )
-
-
-def odd_crossings(edges: Column, px: Column, py: Column) -> Column:
+def odd_crossings(edges: str, px: str, py: str, e: str = "e") -> str:
     """Ray-cast parity; says nothing reliable about points on an edge."""
-    return F.size(F.filter(edges, lambda e: _crosses(e, px, py))) % 2 == 1
+    x_at = f"coalesce(try_divide(({e}.x2 - {e}.x1) * ({py} - {e}.y1), {e}.y2 - {e}.y1), 0D) + {e}.x1"
+    crossed = f"(({e}.y1 > {py}) <> ({e}.y2 > {py})) and {px} < {x_at}"
+    return f"(size(filter({edges}, {e} -> {crossed})) % 2 = 1)"
 
 
-def on_boundary(edges: Column, px: Column, py: Column) -> Column:
-    return F.exists(edges, lambda e: _on_edge(e, px, py))
+def on_boundary(edges: str, px: str, py: str) -> str:
+    return (
+        f"exists({edges}, e -> (e.x2 - e.x1) * ({py} - e.y1) = (e.y2 - e.y1) * ({px} - e.x1) "
+        f"and {px} between least(e.x1, e.x2) and greatest(e.x1, e.x2) "
+        f"and {py} between least(e.y1, e.y2) and greatest(e.y1, e.y2))"
+    )
 
 
-def strictly_inside(edges: Column, px: Column, py: Column) -> Column:
-    return odd_crossings(edges, px, py) & ~on_boundary(edges, px, py)
+def strictly_inside(edges: str, px: str, py: str) -> str:
+    return f"({odd_crossings(edges, px, py)} and not {on_boundary(edges, px, py)})"
 
 
-def _side(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
-    return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+def _side(s: str, p: str) -> str:
+    """Side of the segment ``s`` on which a vertex such as ``a.x1, a.y1`` lies."""
+    shape, end = p
+    px, py = f"{shape}.x{end}", f"{shape}.y{end}"
+    return (
+        f"signum(({s}.x2 - {s}.x1) * ({py} - {s}.y1) - ({s}.y2 - {s}.y1) * ({px} - {s}.x1))"
+    )
 
 
-def segments_meet(a: Column, b: Column) -> Column:
-    """Crossing or touching segments, collinear overlap included."""
-    boxes = (
-        (F.least(a["x1"], a["x2"]) <= F.greatest(b["x1"], b["x2"]))
-        & (F.least(b["x1"], b["x2"]) <= F.greatest(a["x1"], a["x2"]))
-        & (F.least(a["y1"], a["y2"]) <= F.greatest(b["y1"], b["y2"]))
-        & (F.least(b["y1"], b["y2"]) <= F.greatest(a["y1"], a["y2"]))
-    )
-    a_of_b = _side(b["x1"], b["y1"], b["x2"], b["y2"], a["x1"], a["y1"]) * _side(
-        b["x1"], b["y1"], b["x2"], b["y2"], a["x2"], a["y2"]
+def segments_meet() -> str:
+    """Crossing or touching segments ``a`` and ``b``, collinear overlap included."""
+    boxes = " and ".join(
+        f"least({s}.{v}1, {s}.{v}2) <= greatest({t}.{v}1, {t}.{v}2)"
+        for v in "xy" for s, t in ("ab", "ba")
     )
-    b_of_a = _side(a["x1"], a["y1"], a["x2"], a["y2"], b["x1"], b["y1"]) * _side(
-        a["x1"], a["y1"], a["x2"], a["y2"], b["x2"], b["y2"]
+    return (
+        f"({boxes} and {_side('b', 'a1')} * {_side('b', 'a2')} <= 0 "
+        f"and {_side('a', 'b1')} * {_side('a', 'b2')} <= 0)"
     )
-    return boxes & (a_of_b <= 0) & (b_of_a <= 0)
 
 
-def shapes_meet(edges_a: Column, edges_b: Column, starts_a: Column, starts_b: Column) -> Column:
+def shapes_meet(edges_a: str, edges_b: str, starts_a: str, starts_b: str) -> str:
     """Closed shapes share a point: edges meet, or one holds a ring start of the other."""
     return (
-        F.exists(edges_a, lambda a: F.exists(edges_b, lambda b: segments_meet(a, b)))
-        | F.exists(starts_a, lambda p: odd_crossings(edges_b, p["x"], p["y"]))
-        | F.exists(starts_b, lambda p: odd_crossings(edges_a, p["x"], p["y"]))
+        f"(exists({edges_a}, a -> exists({edges_b}, b -> {segments_meet()})) "
+        f"or exists({starts_a}, p -> {odd_crossings(edges_b, 'p.x', 'p.y')}) "
+        f"or exists({starts_b}, p -> {odd_crossings(edges_a, 'p.x', 'p.y')}))"
     )
 
 
-def ring_starts(rings: Column) -> Column:
-    return F.transform(rings, lambda r: F.element_at(r, 1))
-
-
-def centroid(rings: Column) -> tuple[Column, Column]:
+def centroid(rings: str) -> tuple[str, str]:
     """Area centroid of the outer ring minus its holes, by shoelace sums.
 
     Sums run relative to the first vertex: with coordinates near (-122, 37) and
     parcels of some metres, absolute products would lose most digits. Rings are
     weighted by absolute area, so orientation does not matter.
     """
-    ox = F.element_at(F.element_at(rings, 1), 1)["x"]
-    oy = F.element_at(F.element_at(rings, 1), 1)["y"]
-
-    def moments(ring: Column) -> Column:
-        zero = F.struct(
-            F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")
-        )
-
-        def step(acc: Column, e: Column) -> Column:
-            x1, y1, x2, y2 = e["x1"] - ox, e["y1"] - oy, e["x2"] - ox, e["y2"] - oy
-            cross = x1 * y2 - x2 * y1
-            return F.struct(
-                (acc["a"] + cross).alias("a"),
-                (acc["mx"] + (x1 + x2) * cross).alias("mx"),
-                (acc["my"] + (y1 + y2) * cross).alias("my"),
-            )
-
-        return F.aggregate(ring_edges(ring), zero, step)
-
-    parts = F.transform(rings, moments)
-
-    def total(name: str) -> Column:
-        def step(acc: Column, m: Column, i: Column) -> Column:
-            sign = F.signum(m["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)
-            return acc + sign * m[name]
+    ox, oy = f"{rings}[0][0].x", f"{rings}[0][0].y"
+    x1, y1, x2, y2 = f"(__e.x1 - {ox})", f"(__e.y1 - {oy})", f"(__e.x2 - {ox})", f"(__e.y2 - {oy})"
+    cross = f"({x1} * {y2} - {x2} * {y1})"
+    moments = (
+        f"aggregate({ring_edges('__r')}, named_struct('a', 0D, 'mx', 0D, 'my', 0D), (__s, __e) -> "
+        f"named_struct('a', __s.a + {cross}, 'mx', __s.mx + ({x1} + {x2}) * {cross}, "
+        f"'my', __s.my + ({y1} + {y2}) * {cross}))"
+    )
+    signed = (
+        f"transform(transform({rings}, __r -> {moments}), (__m, __i) -> "
+        "named_struct('m', __m, 'sign', signum(__m.a) * if(__i = 0, 1D, -1D)))"
+    )
 
-        numbered = F.transform(parts, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
-        return F.aggregate(numbered, F.lit(0.0), lambda acc, n: step(acc, n["m"], n["i"]))
+    def total(name: str) -> str:
+        return f"aggregate({signed}, 0D, (__t, __k) -> __t + __k.sign * __k.m.{name})"
 
-    area = total("a")
     return (
-        ox + F.try_divide(total("mx"), area * 3.0),
-        oy + F.try_divide(total("my"), area * 3.0),
+        f"{ox} + try_divide({total('mx')}, 3 * {total('a')})",
+        f"{oy} + try_divide({total('my')}, 3 * {total('a')})",
     )
 
 

@@ -38,12 +38,12 @@ def share_columns(
     merged = dict(merged or {})
     taken = {v for codes in merged.values() for v in codes}
     groups = {v: [v] for v in values if v not in taken} | merged
-    return [
-        F.try_divide(
-            F.sum(F.when(F.col(code).isin(list(codes)), 1.0).otherwise(0.0)), F.count(code)
-        ).alias(name)
-        for name, codes in groups.items()
-    ]
+
+    def share(name: str, codes: Sequence[str]) -> Column:
+        listed = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in codes)
+        return F.expr(f"try_divide(double(count_if(`{code}` IN ({listed}))), count(`{code}`)) AS `{name}`")
+
+    return [share(name, codes) for name, codes in groups.items()]
 
 
 def pivot_shares(

@@ -87,20 +87,21 @@ def pair_with_next_year(
     """
     block, year = keys
     measures = [c for c in counts.columns if c not in keys]
-    types = {c: counts.schema[c].dataType for c in measures}
-    own = F.struct(
-        F.col(year).alias(year),
-        *[F.col(c).alias(c) for c in measures],
-        *[F.lit(None).cast(types[c]).alias(t) for c, t in names.items()],
-    )
-    before = F.struct(
-        (F.col(year) - 1).alias(year),
-        *[F.lit(None).cast(types[c]).alias(c) for c in measures],
-        *[F.col(c).alias(t) for c, t in names.items()],
-    )
+    kind = {c: counts.schema[c].dataType.simpleString() for c in measures}
+    year_kind = counts.schema[year].dataType.simpleString()
+
+    def named(year_text: str, own: bool) -> str:
+        fields = [f"'{year}', cast({year_text} AS {year_kind})"]
+        for c in measures:
+            fields.append(f"'{c}', " + (f"`{c}`" if own else f"cast(null AS {kind[c]})"))
+        for c, t in names.items():
+            fields.append(f"'{t}', " + (f"cast(null AS {kind[c]})" if own else f"`{c}`"))
+        return f"named_struct({', '.join(fields)})"
+
+    rows = f"inline(array({named(f'`{year}`', True)}, {named(f'`{year}` - 1', False)}))"
     folded = [*measures, *names.values()]
-    return counts.select(block, F.inline(F.array(own, before))).groupBy(block, year).agg(
-        *[F.max(c).alias(c) for c in folded]
+    return counts.selectExpr(f"`{block}`", rows).groupBy(block, year).agg(
+        *[F.expr(f"max(`{c}`) AS `{c}`") for c in folded]
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_RANGES = 1024
@@ -24,14 +24,22 @@ def _range_count(df: DataFrame) -> int:
     return min(MOST_RANGES, max(16, partitions))
 
 
+def _struct(names: Sequence[str], row: str = "") -> str:
+    """Struct of columns; lambda names start with two underscores to stay clear of these."""
+    fields = ", ".join(f"'{n}', {row}`{n}`" for n in names)
+    return f"named_struct({fields})"
+
+
 def _cut_points(df: DataFrame, keys: Sequence[str], ranges: int, sample: int) -> Column:
     # The whole row is sampled: a narrower one would make the optimizer plan, and run,
     # a second copy of the aggregation under ``df`` instead of reusing its shuffle.
     smallest = df.orderBy(F.xxhash64(*keys)).limit(sample)
-    rows = F.collect_list(F.struct(*df.columns))
-    ordered = F.array_sort(F.transform(rows, lambda r: F.struct(*[r[k].alias(k) for k in keys])))
-    step = F.greatest(F.ceil(F.size(ordered) / F.lit(ranges)), F.lit(1))
-    return smallest.agg(F.filter(ordered, lambda _k, i: (i % step) == 0).alias("cuts")).scalar()
+    rows = f"collect_list({_struct(df.columns)})"
+    ordered = smallest.selectExpr(
+        f"array_sort(transform({rows}, __row -> {_struct(keys, '__row.')})) AS _sorted"
+    )
+    step = f"greatest(bigint(ceil(size(_sorted) / {ranges})), 1)"
+    return ordered.selectExpr(f"filter(_sorted, (__cut, __i) -> __i % {step} = 0) AS cuts").scalar()
 
 
 def running_totals(
@@ -48,57 +56,42 @@ def running_totals(
     keys = list(keys)
     ranges = ranges or _range_count(df)
     cuts = _cut_points(df, keys, ranges, ranges * SAMPLE_PER_RANGE)
-    valued = df.withColumns({f"_v_{name}": c for name, c in values.items()})
-    ranged = valued.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c <= F.struct(*keys)))
+    valued = df.withColumns({"_cuts": cuts} | {f"_v_{name}": c for name, c in values.items()})
+    # The range comes out of a generator: as a plain expression the optimizer would copy it,
+    # subquery and all, into a filter on the other side of the join below.
+    ranged = valued.selectExpr(
+        "*", f"explode(array(size(filter(_cuts, __cut -> __cut <= {_struct(keys)})))) AS _range"
     ).drop("_cuts").repartition("_range")
     # The checksum reads every column, so that this aggregate and the window below ask
     # for the same shuffle and it runs once.
+    whole_row = ", ".join(f"`{c}`" for c in df.columns)
     per_range = ranged.groupBy("_range").agg(
-        *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in values],
-        F.bit_xor(F.xxhash64(*df.columns)).alias("_check"),
+        *[F.expr(f"sum(`_v_{n}`) AS `_s_{n}`") for n in values],
+        F.expr(f"bit_xor(xxhash64({whole_row})) AS _check"),
     )
     # At most ranges + 1 rows, folded into one row and spread out again with their offsets.
-    parts = per_range.agg(
-        F.collect_list(F.struct("_range", "_check", *[f"_s_{n}" for n in values])).alias("_p")
-    )
+    sums = [f"_s_{n}" for n in values]
+    parts = per_range.selectExpr(f"collect_list({_struct(['_range', '_check', *sums])}) AS _p")
 
-    def earlier(name: str) -> Column:
-        return F.aggregate(
-            F.filter("_p", lambda o: o["_range"] < F.col("_part._range")),
-            F.lit(0).cast(_type_of(per_range, f"_s_{name}")),
-            lambda acc, o: acc + o[f"_s_{name}"],
-        )
-
-    def overall(name: str) -> Column:
-        return F.aggregate(
-            F.col("_p"),
-            F.lit(0).cast(_type_of(per_range, f"_s_{name}")),
-            lambda acc, o: acc + o[f"_s_{name}"],
-        )
-
-    offsets = parts.select("_p", F.explode("_p").alias("_part")).select(
-        F.col("_part._range").alias("_range"),
-        *[earlier(n).alias(f"_o_{n}") for n in values],
-        *[overall(n).alias(f"{n}_total") for n in values],
+    def over(name: str, rows: str) -> str:
+        zero = f"cast(0 AS {per_range.schema[f'_s_{name}'].dataType.simpleString()})"
+        return f"aggregate({rows}, {zero}, (t, o) -> t + o.`_s_{name}`)"
+
+    offsets = parts.selectExpr("_p", "explode(_p) AS _part").selectExpr(
+        "_part._range AS _range",
+        *[f"{over(n, 'filter(_p, o -> o._range < _part._range)')} AS `_o_{n}`" for n in values],
+        *[f"{over(n, '_p')} AS `{n}_total`" for n in values],
     )
-    w = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    # Left, though every range has an offset: an inner join would evaluate the range twice.
     joined = ranged.join(F.broadcast(offsets), "_range", "left")
-    return joined.select(
-        *df.columns,
-        *[
-            (F.col(f"_o_{n}") + F.coalesce(F.sum(f"_v_{n}").over(w), F.lit(0))).alias(f"{n}_before")
-            for n in values
-        ],
-        *[f"{n}_total" for n in values],
+    order = ", ".join(f"`{k}`" for k in keys)
+    window = f"(PARTITION BY _range ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return joined.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"`_o_{n}` + coalesce(sum(`_v_{n}`) OVER {window}, 0) AS `{n}_before`" for n in values],
+        *[f"`{n}_total`" for n in values],
     )
 
 
-def _type_of(df: DataFrame, name: str):
-    return df.schema[name].dataType
-
-
 def row_numbers(df: DataFrame, keys: Sequence[str], name: str = "row_number") -> DataFrame:
     """1-based position in key order over the whole table; keys identify rows."""
     ranked = running_totals(df, keys, {"_row": F.lit(1).cast("long")})

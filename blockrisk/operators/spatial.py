@@ -26,37 +26,25 @@ _SMALLEST_EXTENT = 1e-12
 
 
 def shape_columns(polygons: DataFrame, key: str, rings: str) -> DataFrame:
-    """Key, edges, bounds and grid level; shapes without edges drop out."""
-    r = F.col(rings)
-    bounds = G.bounds_of(r)
-    shaped = polygons.select(
-        F.col(key),
-        G.edges_of(r).alias("_edges"),
-        G.ring_starts(r).alias("_starts"),
-        *[c.alias(f"_{name}") for name, c in bounds.items()],
-    ).filter(F.size("_edges") > 0)
-    extent = F.greatest(
-        F.col("_xmax") - F.col("_xmin"),
-        F.col("_ymax") - F.col("_ymin"),
-        F.lit(_SMALLEST_EXTENT),
-    )
-    return shaped.withColumn("_level", F.ceil((F.ceil(F.log2(extent)) - 2) / 2).cast("int") * 2)
-
-
-def _cell(level: Column) -> Column:
-    return F.pow(F.lit(2.0), level.cast("double"))
-
-
-def _index(value: Column, level: Column) -> Column:
-    return F.floor(value / _cell(level)).cast("long")
+    """Key, edges, bounds and grid level with its cell side; shapes without edges drop out."""
+    r = f"`{rings}`"
+    shaped = polygons.selectExpr(
+        f"`{key}`",
+        f"{G.edges_of(r)} AS _edges",
+        f"{G.ring_starts(r)} AS _starts",
+        *[f"{text} AS _{name}" for name, text in G.bounds_of(r).items()],
+    ).filter("size(_edges) > 0")
+    extent = f"greatest(_xmax - _xmin, _ymax - _ymin, {_SMALLEST_EXTENT}D)"
+    leveled = shaped.selectExpr("*", f"2 * cast(ceil((ceil(log2({extent})) - 2) / 2) AS int) AS _level")
+    return leveled.selectExpr("*", "pow(2D, _level) AS _cell")
 
 
-def _span(low: str, high: str, level: Column) -> Column:
-    return F.sequence(_index(F.col(low), level), _index(F.col(high), level))
+def _index(value: str, cell: str) -> str:
+    return f"cast(floor({value} / {cell}) AS bigint)"
 
 
-def _span_size(low: str, high: str, level: Column) -> Column:
-    return _index(F.col(high), level) - _index(F.col(low), level) + 1
+def _span(axis: str, cell: str) -> str:
+    return f"sequence({_index(f'_{axis}min', cell)}, {_index(f'_{axis}max', cell)})"
 
 
 @dataclass
@@ -71,48 +59,30 @@ class PolygonCover:
     @classmethod
     def build(cls, polygons: DataFrame, key: str = "GISJOIN", rings: str = "rings") -> PolygonCover:
         shapes = shape_columns(polygons, key, rings)
-        level = F.col("_level")
-        cells = _span_size("_xmin", "_xmax", level) * _span_size("_ymin", "_ymax", level)
+        cells = f"size({_span('x', '_cell')}) * size({_span('y', '_cell')})"
         # One row about the polygon side alone: distinct levels (a few dozen at most) and size.
-        stats = shapes.agg(
-            F.collect_set("_level").alias("levels"),
-            F.sum(cells * (F.lit(96) + F.size("_edges") * 40)).alias("bytes"),
+        stats = shapes.selectExpr(
+            "collect_set(_level) AS levels",
+            f"sum(bigint({cells} * (96 + size(_edges) * 40))) AS bytes",
         ).first()
-        def in_cell(cx: Column, cy: Column) -> Column:
-            x0, y0, y1 = cx * _cell(level), cy * _cell(level), (cy + 1) * _cell(level)
-            near = F.filter(
-                "_edges",
-                lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
-                & (F.least(e["y1"], e["y2"]) <= y1)
-                & (F.greatest(e["x1"], e["x2"]) >= x0),
-            )
-            return F.struct(cx.alias("_cx"), cy.alias("_cy"), near.alias("_near"))
-
         # Edges are cut to the cell before the rows fan out, so each list is built once.
-        across = _span("_xmin", "_xmax", level)
-        upward = _span("_ymin", "_ymax", level)
-        cut = F.flatten(
-            F.transform(across, lambda cx: F.transform(upward, lambda cy: in_cell(cx, cy)))
+        near = (
+            "filter(_edges, e -> greatest(e.y1, e.y2) >= cy * _cell "
+            "and least(e.y1, e.y2) <= (cy + 1) * _cell and greatest(e.x1, e.x2) >= cx * _cell)"
         )
-        covered = shapes.select(
-            key, "_level", "_xmin", "_xmax", "_ymin", "_ymax", F.inline(cut)
-        ).withColumn(
-            "_whole",
-            ~F.exists(
-                "_near",
-                lambda e: F.least(e["x1"], e["x2"]) <= (F.col("_cx") + 1) * _cell(level),
-            ),
+        cut = (
+            f"flatten(transform({_span('x', '_cell')}, cx -> transform({_span('y', '_cell')}, "
+            f"cy -> named_struct('_cx', cx, '_cy', cy, '_near', {near}))))"
         )
-        middle = G.odd_crossings(
-            F.col("_near"),
-            (F.col("_cx") + 0.5) * _cell(level),
-            (F.col("_cy") + 0.5) * _cell(level),
+        covered = shapes.selectExpr(
+            f"`{key}`", "_level", "_cell", "_xmin", "_xmax", "_ymin", "_ymax", f"inline({cut})"
+        ).selectExpr(
+            "*", "not exists(_near, e -> least(e.x1, e.x2) <= (_cx + 1) * _cell) AS _whole"
         )
-        rows = covered.filter(~F.col("_whole") | middle).select(
-            key, "_level", "_cx", "_cy", "_xmin", "_xmax", "_ymin", "_ymax", "_whole",
-            F.when(~F.col("_whole"), F.col("_near")).otherwise(
-                F.array().cast(G.EDGES)
-            ).alias("_edges"),
+        middle = G.odd_crossings("_near", "(_cx + 0.5D) * _cell", "(_cy + 0.5D) * _cell")
+        rows = covered.filter(f"not _whole or {middle}").selectExpr(
+            f"`{key}`", "_level", "_cx", "_cy", "_xmin", "_xmax", "_ymin", "_ymax", "_whole",
+            f"if(_whole, cast(array() AS {G.EDGES}), _near) AS _edges",
         )
         return cls(rows, key, sorted(stats["levels"] or []), stats["bytes"] or 0)
 
@@ -131,34 +101,23 @@ class PolygonCover:
             strategy = "broadcast" if self.size_bytes <= broadcast_bytes else "shuffle"
         # Points go through a generator even with one level: filters that the join implies
         # on cell and coordinates then stop there, and text is parsed once, not per filter.
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(level).alias("_level"),
-                    _index(F.col(x), F.lit(level)).alias("_cx"),
-                    _index(F.col(y), F.lit(level)).alias("_cy"),
-                    F.col(x).alias("_px"),
-                    F.col(y).alias("_py"),
-                )
-                for level in self.levels
-            ]
+        cells = ", ".join(
+            f"named_struct('_level', {level}, '_cx', {_index(f'`{x}`', f'{2.0 ** level}D')}, "
+            f"'_cy', {_index(f'`{y}`', f'{2.0 ** level}D')}, '_px', `{x}`, '_py', `{y}`)"
+            for level in self.levels
         )
-        keyed = points.select("*", F.inline(cells))
+        keyed = points.selectExpr("*", f"inline(array({cells}))")
         on = ["_level", "_cx", "_cy"]
         if strategy == "broadcast":
             joined = keyed.join(F.broadcast(self.rows), on)
         else:
             joined = _salted_join(keyed, self.rows, on, F.xxhash64("_px", "_py"))
-        px, py = F.col("_px"), F.col("_py")
-        in_box = (
-            (px > F.col("_xmin")) & (px < F.col("_xmax"))
-            & (py > F.col("_ymin")) & (py < F.col("_ymax"))
-        )
         # In this order: the box test compiles and spares most rows the edge loops.
         hits = joined.filter(
-            in_box & (F.col("_whole") | G.strictly_inside(F.col("_edges"), px, py))
+            "_px > _xmin and _px < _xmax and _py > _ymin and _py < _ymax "
+            f"and (_whole or {G.strictly_inside('_edges', '_px', '_py')})"
         )
-        return hits.select(*[F.col(c) for c in points.columns], F.col(self.key))
+        return hits.select(*points.columns, self.key)
 
 
 def _salted_join(points: DataFrame, cover: DataFrame, on: list[str], spread: Column) -> DataFrame:
@@ -245,33 +204,27 @@ def polygons_intersect(
     )
 
     def index(side: str, key: str) -> DataFrame:
-        grid = F.col("_grid")
-        own = F.filter(F.array(*map(F.lit, levels)), lambda g: g >= F.col("_level"))
-        cells = (
-            shapes[side].withColumn("_grid", F.explode(own))
-            .withColumn("_cx", F.explode(_span("_xmin", "_xmax", grid)))
-            .withColumn("_cy", F.explode(_span("_ymin", "_ymax", grid)))
-        )
+        grids = ", ".join(map(str, levels))
         names = ["_edges", "_starts", "_xmin", "_xmax", "_ymin", "_ymax", "_level"]
-        return cells.select(
-            F.col(key).alias(f"{side}_key"), "_grid", "_cx", "_cy",
-            *[F.col(n).alias(f"{side}{n}") for n in names],
+        return (
+            shapes[side]
+            .selectExpr("*", f"explode(filter(array({grids}), g -> g >= _level)) AS _grid")
+            .selectExpr("*", f"explode({_span('x', 'pow(2D, _grid)')}) AS _cx")
+            .selectExpr("*", f"explode({_span('y', 'pow(2D, _grid)')}) AS _cy")
+            .selectExpr(f"`{key}` AS {side}_key", "_grid", "_cx", "_cy",
+                        *[f"{n} AS {side}{n}" for n in names])
         )
 
     if not levels:
         pairs = left.select(left_key).limit(0).join(right.select(right_key).limit(0), how="inner")
     else:
-        x0 = F.greatest("l_xmin", "r_xmin")
-        y0 = F.greatest("l_ymin", "r_ymin")
-        meet = index("l", left_key).join(index("r", right_key), ["_grid", "_cx", "_cy"]).filter(
-            (F.col("_grid") == F.greatest("l_level", "r_level"))
-            & (x0 <= F.least("l_xmax", "r_xmax"))
-            & (y0 <= F.least("l_ymax", "r_ymax"))
-            & (_index(x0, F.col("_grid")) == F.col("_cx"))
-            & (_index(y0, F.col("_grid")) == F.col("_cy"))
-        )
-        pairs = meet.filter(
-            G.shapes_meet(F.col("l_edges"), F.col("r_edges"), F.col("l_starts"), F.col("r_starts"))
+        corner_x, corner_y = "greatest(l_xmin, r_xmin)", "greatest(l_ymin, r_ymin)"
+        met = G.shapes_meet("l_edges", "r_edges", "l_starts", "r_starts")
+        pairs = index("l", left_key).join(index("r", right_key), ["_grid", "_cx", "_cy"]).filter(
+            "_grid = greatest(l_level, r_level) "
+            f"and {corner_x} <= least(l_xmax, r_xmax) and {corner_y} <= least(l_ymax, r_ymax) "
+            f"and {_index(corner_x, 'pow(2D, _grid)')} = _cx "
+            f"and {_index(corner_y, 'pow(2D, _grid)')} = _cy and {met}"
         ).select(F.col("l_key").alias(left_key), F.col("r_key").alias(right_key))
     if how == "left":
         return left.select(left_key).join(pairs, left_key, "left")

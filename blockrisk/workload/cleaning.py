@@ -321,7 +321,7 @@ _AREA_SQL = f"""
 
 def _areas(blocks):
     twice = F.aggregate(
-        G.edges_of(F.col("rings")), F.lit(0.0),
+        F.expr(G.edges_of("rings")), F.lit(0.0),
         lambda a, e: a + (e["x1"] + 122.5) * (e["y2"] - 37.7) - (e["x2"] + 122.5) * (e["y1"] - 37.7),
     )
     return blocks.select("GISJOIN", (F.abs(twice) / 2 * 1e6).alias("area"))

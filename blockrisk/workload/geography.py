@@ -222,7 +222,7 @@ def _(spark, d):
 @query("centroid", "block_num s, lon f, lat f", f"""
     SELECT block_num, (x + x2) / 2 AS lon, (y + y2) / 2 AS lat FROM {src('landuse')}""")
 def _(spark, d):
-    x, y = G.centroid(F.col("rings"))
+    x, y = map(F.expr, G.centroid("rings"))
     return T.parcels(spark, d).select("block_num", x.alias("lon"), y.alias("lat"))
 
 

@@ -542,7 +542,7 @@ def risk_table(spark, d) -> DataFrame:
     SELECT r.*, e.edges FROM risk r JOIN e ON e.block = r."GISJOIN" """)
 def _(spark, d):
     table = risk_table(spark, d)
-    return table.withColumn("edges", F.size(G.edges_of(F.col("rings"))))
+    return table.withColumn("edges", F.size(F.expr(G.edges_of("rings"))))
 
 
 @query("risk_at_locations", "event_id i, GISJOIN s, score f, highrisk i", f"""

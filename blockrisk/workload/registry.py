@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -27,15 +26,13 @@ def _parse(columns: str) -> list[tuple[str, str]]:
 def _spark_result(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     out = []
     for name, kind in columns:
-        c = F.col(f"`{name}`")
         if kind == "i":
-            c = c.cast("long")
+            out.append(f"CAST(`{name}` AS BIGINT) AS `{name}`")
         elif kind in _PLACES:
-            c = F.round(c.cast("double"), _PLACES[kind]) + F.lit(0.0)
+            out.append(f"round(CAST(`{name}` AS DOUBLE), {_PLACES[kind]}) + 0D AS `{name}`")
         else:
-            c = c.cast("string")
-        out.append(c.alias(name))
-    return df.select(*out)
+            out.append(f"CAST(`{name}` AS STRING) AS `{name}`")
+    return df.selectExpr(*out)
 
 
 def _duckdb_result(sql: str, columns: list[tuple[str, str]]) -> str:
