@@ -11,6 +11,7 @@ cells wholly inside the polygon carry none: their points need no test at all.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,11 +26,14 @@ SALTS = 64
 _SMALLEST_EXTENT = 1e-12
 
 
-def shape_columns(polygons: DataFrame, key: str, rings: str) -> DataFrame:
+def shape_columns(
+    polygons: DataFrame, key: str, rings: str, carry: Sequence[str] = ()
+) -> DataFrame:
     """Key, edges, bounds and grid level with its cell side; shapes without edges drop out."""
     r = f"`{rings}`"
     shaped = polygons.selectExpr(
         f"`{key}`",
+        *[f"`{c}`" for c in carry],
         f"{G.edges_of(r)} AS _edges",
         f"{G.ring_starts(r)} AS _starts",
         *[f"{text} AS _{name}" for name, text in G.bounds_of(r).items()],
@@ -55,10 +59,19 @@ class PolygonCover:
     key: str
     levels: list[int]
     size_bytes: int
+    carry: tuple[str, ...] = ()
 
     @classmethod
-    def build(cls, polygons: DataFrame, key: str = "GISJOIN", rings: str = "rings") -> PolygonCover:
-        shapes = shape_columns(polygons, key, rings)
+    def build(
+        cls,
+        polygons: DataFrame,
+        key: str = "GISJOIN",
+        rings: str = "rings",
+        carry: Sequence[str] = (),
+    ) -> PolygonCover:
+        """``carry`` names polygon columns that located points receive beside the key."""
+        kept = [f"`{c}`" for c in (key, *carry)]
+        shapes = shape_columns(polygons, key, rings, carry)
         cells = f"size({_span('x', '_cell')}) * size({_span('y', '_cell')})"
         # One row about the polygon side alone: distinct levels (a few dozen at most) and size.
         stats = shapes.selectExpr(
@@ -75,16 +88,16 @@ class PolygonCover:
             f"cy -> named_struct('_cx', cx, '_cy', cy, '_near', {near}))))"
         )
         covered = shapes.selectExpr(
-            f"`{key}`", "_level", "_cell", "_xmin", "_xmax", "_ymin", "_ymax", f"inline({cut})"
+            *kept, "_level", "_cell", "_xmin", "_xmax", "_ymin", "_ymax", f"inline({cut})"
         ).selectExpr(
             "*", "not exists(_near, e -> least(e.x1, e.x2) <= (_cx + 1) * _cell) AS _whole"
         )
         middle = G.odd_crossings("_near", "(_cx + 0.5D) * _cell", "(_cy + 0.5D) * _cell")
         rows = covered.filter(f"not _whole or {middle}").selectExpr(
-            f"`{key}`", "_level", "_cx", "_cy", "_xmin", "_xmax", "_ymin", "_ymax", "_whole",
+            *kept, "_level", "_cx", "_cy", "_xmin", "_xmax", "_ymin", "_ymax", "_whole",
             f"if(_whole, cast(array() AS {G.EDGES}), _near) AS _edges",
         )
-        return cls(rows, key, sorted(stats["levels"] or []), stats["bytes"] or 0)
+        return cls(rows, key, sorted(stats["levels"] or []), stats["bytes"] or 0, tuple(carry))
 
     def locate(
         self,
@@ -96,7 +109,7 @@ class PolygonCover:
     ) -> DataFrame:
         """Points strictly inside a polygon, with the polygon key; inner join."""
         if not self.levels:
-            return points.withColumn(self.key, F.lit(None).cast("string")).limit(0)
+            return points.join(self.rows.select(self.key, *self.carry), F.lit(False))
         if strategy == "auto":
             strategy = "broadcast" if self.size_bytes <= broadcast_bytes else "shuffle"
         # Points go through a generator even with one level: filters that the join implies
@@ -117,7 +130,7 @@ class PolygonCover:
             "_px > _xmin and _px < _xmax and _py > _ymin and _py < _ymax "
             f"and (_whole or {G.strictly_inside('_edges', '_px', '_py')})"
         )
-        return hits.select(*points.columns, self.key)
+        return hits.select(*points.columns, self.key, *self.carry)
 
 
 def _salted_join(points: DataFrame, cover: DataFrame, on: list[str], spread: Column) -> DataFrame:
@@ -143,7 +156,7 @@ def _salted_join(points: DataFrame, cover: DataFrame, on: list[str], spread: Col
         ),
     )
     return salted_points.drop("_hot").join(
-        salted_cover.drop("_hot").hint("shuffle_hash"), [*on, "_salt"]
+        salted_cover.drop("_hot"), [*on, "_salt"]
     )
 
 
@@ -163,9 +176,15 @@ def points_in_polygons(
 def polygons_with_points(
     points: DataFrame, polygons: DataFrame, key: str = "GISJOIN", **kwargs: str
 ) -> DataFrame:
-    """Every polygon key, with its points or one row of nulls."""
-    located = points_in_polygons(points, polygons, key, **kwargs)
-    return polygons.select(key).join(located, key, "left")
+    """Every polygon key, with its points or one row of nulls.
+
+    Keys without points are appended rather than outer-joined: a join would bring
+    all points of a crowded polygon to one task, a distinct folds them before it
+    shuffles.
+    """
+    located = points_in_polygons(points, polygons, key, **kwargs).select(key, *points.columns)
+    empty = polygons.select(key).join(located.select(key).distinct(), key, "left_anti")
+    return located.unionByName(empty, allowMissingColumns=True)
 
 
 def locate_points(

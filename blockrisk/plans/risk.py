@@ -53,8 +53,8 @@ def risk_at_locations(
     with nulls.
     """
     inside = locations.filter(C.in_city_box("lon", "lat", box) == 1)
-    located = PolygonCover.build(risk, key).locate(inside.select(location_key, "lon", "lat"))
-    found = located.select(location_key, key).join(risk.select(key, "score", "highrisk"), key)
+    cover = PolygonCover.build(risk, key, carry=["score", "highrisk"])
+    found = cover.locate(inside.select(location_key, "lon", "lat")).drop("lon", "lat")
     return inside.join(found, location_key, "left")
 
 
