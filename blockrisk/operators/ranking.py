@@ -30,13 +30,18 @@ def _struct(names: Sequence[str], row: str = "") -> str:
     return f"named_struct({fields})"
 
 
+def _sort_key(keys: Sequence[str], row: str = "") -> str:
+    """A lone key as it is, several as a struct; a null key falls into the first range."""
+    return f"{row}`{keys[0]}`" if len(keys) == 1 else _struct(keys, row)
+
+
 def _cut_points(df: DataFrame, keys: Sequence[str], ranges: int, sample: int) -> Column:
     # The whole row is sampled: a narrower one would make the optimizer plan, and run,
     # a second copy of the aggregation under ``df`` instead of reusing its shuffle.
     smallest = df.orderBy(F.xxhash64(*keys)).limit(sample)
     rows = f"collect_list({_struct(df.columns)})"
     ordered = smallest.selectExpr(
-        f"array_sort(transform({rows}, __row -> {_struct(keys, '__row.')})) AS _sorted"
+        f"array_sort(transform({rows}, __row -> {_sort_key(keys, '__row.')})) AS _sorted"
     )
     step = f"greatest(bigint(ceil(size(_sorted) / {ranges})), 1)"
     return ordered.selectExpr(f"filter(_sorted, (__cut, __i) -> __i % {step} = 0) AS cuts").scalar()
@@ -60,7 +65,7 @@ def running_totals(
     # The range comes out of a generator: as a plain expression the optimizer would copy it,
     # subquery and all, into a filter on the other side of the join below.
     ranged = valued.selectExpr(
-        "*", f"explode(array(size(filter(_cuts, __cut -> __cut <= {_struct(keys)})))) AS _range"
+        "*", f"explode(array(size(filter(_cuts, __cut -> __cut <= {_sort_key(keys)})))) AS _range"
     ).drop("_cuts").repartition("_range")
     # The checksum reads every column, so that this aggregate and the window below ask
     # for the same shuffle and it runs once.
