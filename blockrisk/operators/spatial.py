@@ -76,7 +76,7 @@ class PolygonCover:
         # One row about the polygon side alone: distinct levels (a few dozen at most) and size.
         stats = shapes.selectExpr(
             "collect_set(_level) AS levels",
-            f"sum(bigint({cells} * (96 + size(_edges) * 40))) AS bytes",
+            f"sum(bigint({cells} * ({96 + 32 * len(carry)} + size(_edges) * 40))) AS bytes",
         ).first()
         # Edges are cut to the cell before the rows fan out, so each list is built once.
         near = (

@@ -138,3 +138,11 @@ def test_snyder_worked_example(spark):
     x, y = G.to_albers(F.col("lon"), F.col("lat"), {"lat0": 23.0, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5})
     got = df.select(x, y).first()
     assert abs(got[0] - 1885472.7) < 100 and abs(got[1] - 1535925.0) < 100
+
+
+@pytest.mark.parametrize("scale", [2.0 ** -40, 2.0 ** 60])
+def test_very_small_and_very_large_coordinates(spark, scale):
+    shapes = {k: [[(x * scale, y * scale) for x, y in ring] for ring in rings] for k, rings in SHAPES.items()}
+    pts = [(x * scale, y * scale) for x, y in CASES]
+    located = S.points_in_polygons(points(spark, pts), polygons(spark, shapes))
+    assert rows(located, "id", "GISJOIN") == sorted((i, k) for i, k in enumerate(CASES.values()) if k)
