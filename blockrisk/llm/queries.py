@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blockrisk.llm.best_fit_packing import pack_documents
 from blockrisk.llm.bit_packing import token_file_index
+from blockrisk.llm.jaccard_join import near_duplicate_groups
+from blockrisk.llm.stream_dedup import deduplicate
 from blockrisk.llm.token_counts import count_tokens
 
 WORD_BPE, WORD_BPE_IDS = "word_bpe_49k.json", 49_408
@@ -23,6 +25,10 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_index(_read(spark, folder, "documents"), WORD_BPE, WORD_BPE_IDS, END_ID).drop("shard", "segment")
 
 
+def op2_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return deduplicate(_read(spark, folder, "documents")).drop("file", "row")
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_read(spark, folder, "documents"), WORD_BPE, END_ID)
 
@@ -31,7 +37,37 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_read(spark, folder, "documents"), WORD_BPE, 2048)
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_groups(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op3_best_fit_packing, op4_token_counts)
+    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join)
+}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op2_stream_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW same AS (PARTITION BY t)""",
+    "op5_jaccard_join": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+                THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+        SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
+        FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+        GROUP BY d.doc_id""",
 }
-ORACLES: dict[str, str] = {}
