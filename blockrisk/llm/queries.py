@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blockrisk.llm.best_fit_packing import pack_documents
 from blockrisk.llm.bit_packing import token_file_index
 from blockrisk.llm.jaccard_join import near_duplicate_groups
+from blockrisk.llm.maxscore import top_k
+from blockrisk.llm.numpy_bpe import encoding_digests
 from blockrisk.llm.stream_dedup import deduplicate
 from blockrisk.llm.token_counts import count_tokens
 
@@ -41,8 +44,17 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_groups(_read(spark, folder, "documents"))
 
 
+def op6_numpy_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_digests(_read(spark, folder, "documents"), BYTE_BPE)
+
+
+def op9_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _read(spark, folder, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join)
+    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op9_maxscore)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -57,7 +69,7 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
         shingles AS (
             SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
-                THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+                THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
         sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
         links AS (
@@ -70,4 +82,13 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
         FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
         GROUP BY d.doc_id""",
+    "op9_maxscore": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.w AS DOUBLE[]), CAST(c.w AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""",
 }
