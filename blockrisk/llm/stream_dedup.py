@@ -30,6 +30,8 @@ from blockrisk.session import scratch_path
 
 ROWS_PER_SALT = 1024
 FILES_PER_TRIGGER = 256
+#: Every state store takes some MB of its own, so their number follows the rows, not the shuffles.
+ROWS_PER_STORE = 1 << 16
 _ROCKSDB = "spark.sql.streaming.stateStore."
 STATE_CONF = {
     _ROCKSDB + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -65,10 +67,15 @@ def located(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def update_state(spark: SparkSession, arrivals_path: str, state_path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> None:
-    """Folds all files of ``arrivals_path`` that the state has not seen into it."""
+    """Folds all files of ``arrivals_path`` that the state has not seen into it.
+
+    The number of state stores is fixed by the first call for a ``state_path``.
+    """
+    rows = spark.read.parquet(arrivals_path).count()
+    stores = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_STORE))
     arrivals = spark.readStream.schema("digest binary, doc_id long, file string, row long").option("maxFilesPerTrigger", files_per_trigger).parquet(arrivals_path)
     state = arrivals.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("retained"), F.count("*").alias("rows"))
-    with _settings(spark, STATE_CONF):
+    with _settings(spark, STATE_CONF | {"spark.sql.streaming.internal.stateStore.partitions": str(stores)}):
         run = state.writeStream.format("noop").outputMode("update").option("checkpointLocation", state_path).trigger(availableNow=True).start()
         run.awaitTermination()
 
