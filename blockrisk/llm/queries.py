@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from blockrisk.llm.best_fit_packing import pack_documents
 from blockrisk.llm.bit_packing import token_file_index
+from blockrisk.llm.byte_cnn import fit_quality, score_quality
 from blockrisk.llm.jaccard_join import near_duplicate_groups
+from blockrisk.llm.labelled_sample import held_out
 from blockrisk.llm.maxscore import top_k
 from blockrisk.llm.numpy_bpe import encoding_digests
 from blockrisk.llm.stream_dedup import deduplicate
+from blockrisk.llm.string_kernel import fit_toxicity, score_toxicity
 from blockrisk.llm.token_counts import count_tokens
+from blockrisk.llm.transcript_hmm import format_transcripts
 
 WORD_BPE, WORD_BPE_IDS = "word_bpe_49k.json", 49_408
 BYTE_BPE = "byte_bpe_50k.json"
@@ -53,8 +57,27 @@ def op9_maxscore(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op7_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    scored = score_quality(docs, fit_quality(docs, _read(spark, folder, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, _read(spark, folder, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_transcript_hmm(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as raw transcripts, each turn behind its speaker's name, parsed from the text alone."""
+    turns = _read(spark, folder, "conversations")
+    raw = F.concat_ws(": ", F.initcap("role"), F.coalesce("text", F.lit("")))
+    return format_transcripts(turns.select("conv_id", "turn", raw.alias("text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op9_maxscore)
+    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op7_byte_cnn, op8_string_kernel, op9_maxscore, op10_transcript_hmm)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
