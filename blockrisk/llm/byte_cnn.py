@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockrisk.llm.frames import id_and_text, slices, split_points, strings_of
+from blockrisk.llm.frames import id_and_text, scored_rows, slices, split_points, strings_of
 from blockrisk.llm.labelled_sample import held_out, labelled_sample
 
 CHUNK, STRIDE, WIDTH, FILTERS, HIDDEN = 16, 8, 6, 24, 16
@@ -165,3 +165,8 @@ def score_quality(docs: DataFrame, model: ByteCnn) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(strings_of(part.column("text"))))], names=["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, RESULT)
+
+
+def keep_good(docs: DataFrame, model: ByteCnn, least: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``least`` or more."""
+    return scored_rows(docs, model.score, lambda score: score >= least)

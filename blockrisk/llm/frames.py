@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,3 +86,14 @@ def gather_runs(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     total = int(ends[-1]) if len(ends) else 0
     shift = np.repeat(starts - (ends - lengths), lengths)
     return flat[shift + np.arange(total)]
+
+
+def scored_rows(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], keep: Callable[[np.ndarray], np.ndarray], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, columns as they are, whose text's score ``keep`` accepts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col):
+                yield part.filter(pa.array(keep(score(strings_of(part.column(text_col))))))
+
+    return docs.mapInArrow(run, docs.schema)

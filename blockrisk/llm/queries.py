@@ -22,6 +22,7 @@ from blockrisk.llm.transcript_hmm import format_transcripts
 WORD_BPE, WORD_BPE_IDS = "word_bpe_49k.json", 49_408
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 1
+QUALITY_LEAST, TOXICITY_MOST = 0.3, 0.5
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -60,13 +61,13 @@ def op9_maxscore(spark: SparkSession, folder: str) -> DataFrame:
 def op7_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     scored = score_quality(docs, fit_quality(docs, _read(spark, folder, "labels")))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
 
 
 def op8_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     scored = score_toxicity(docs, fit_toxicity(docs, _read(spark, folder, "labels")))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXICITY_MOST).cast("int").alias("predicted"))
 
 
 def op10_transcript_hmm(spark: SparkSession, folder: str) -> DataFrame:

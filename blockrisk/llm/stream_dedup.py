@@ -133,3 +133,14 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256, fi
     grouped = placed if odd.isEmpty() else _resolved(placed, odd)
     kept = (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))
     return grouped.select("doc_id", "keep_id", F.col("rows").alias("group_size"), kept.alias("kept"), F.lower(F.hex("sha256")).alias("text_sha256"), "file", "row")
+
+
+def keep_last_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``deduplicate`` keeps."""
+    names = docs.columns
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return keep_last_copies(written(docs, "documents"))
+    kept = deduplicate(docs).where("kept").select(F.col("file").alias("_file"), F.col("row").alias("_row"))
+    return placed.join(kept, ["_file", "_row"], "left_semi").select(*(f"`{n}`" for n in names))

@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from blockrisk.llm.frames import id_and_text, slices, split_points, strings_of
+from blockrisk.llm.frames import id_and_text, scored_rows, slices, split_points, strings_of
 from blockrisk.llm.labelled_sample import labelled_sample
 
 LENGTH, SPAN, DECAY = 4, 6, 0.6
@@ -318,3 +318,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(strings_of(part.column("text"))))], names=["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, RESULT)
+
+
+def keep_mild(docs: DataFrame, model: ToxicityModel, most: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``most``."""
+    return scored_rows(docs, model.score, lambda score: score < most)
