@@ -145,12 +145,29 @@ def _shared_prefix_counts(keys: DataFrame) -> DataFrame:
             shared = np.repeat(weight > 1, np.diff(np.append(starts, len(token)))) & ~several
             keys.append(key[shared])
             sums.append(np.ones(int(shared.sum()), np.int32))
-        key, back = np.unique(np.concatenate(keys), return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.bincount(back, np.concatenate(sums), len(key)).astype(np.int64))], names=["key", "hits"])
-
+        key, sums = _summed(np.concatenate(keys), np.concatenate(sums))
+        # a row for each task that sums up keys, not one for each key
+        order = np.argsort(key % tasks, kind="stable")
+        bounds = np.searchsorted((key % tasks)[order], np.arange(tasks + 1)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x[order])) for x in (key, sums)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(tasks)), *lists], names=["part", "keys", "sums"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for b in batches:
+            more = [b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("keys", "sums")]
+            key, hits = _summed(np.append(key, more[0]), np.append(hits, more[1]))
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(hits)], names=["key", "hits"])
+
+    tasks = shuffle_partitions(keys.sparkSession)
     sent = keys.where("n > 0").select("key", "prefix").mapInArrow(entries, "token long, key long, hits int")
-    dealt = sent.repartition(shuffle_partitions(keys.sparkSession), "token")
-    return dealt.mapInArrow(count, "key long, hits long").groupBy("key").agg(F.sum("hits").alias("hits"))
+    counted = sent.repartition(tasks, "token").mapInArrow(count, "part long, keys array<long>, sums array<long>")
+    return counted.repartition(tasks, "part").mapInArrow(total, "key long, hits long")
+
+
+def _summed(key: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    key, back = np.unique(key, return_inverse=True)
+    return key, np.bincount(back, hits, len(key)).astype(np.int64)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, percent: int) -> DataFrame:
@@ -173,13 +190,16 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, percent: int) -> Da
 
 
 def _prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """token, class_id, n, central: the prefixes under order C, without tokens that one set alone holds."""
+    """token, class_id, n, rest, central: the prefixes under order C, without tokens that one set alone holds.
+
+    ``rest`` counts the set's tokens from this one on; tokens that it alone holds come before all others.
+    """
     held = sets.select("class_id", "n", F.explode("tokens").alias("token"))
     common = held.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     by_class = held.join(common, "token").groupBy("class_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"), (F.sum("df") / F.first("n")).alias("central"))
     length = F.col("n") - _needed(F.col("n"), percent) + 1 - (F.col("n") - F.size("shared"))
-    kept = by_class.where(length > 0).select("class_id", "n", "central", F.slice("shared", F.lit(1), length.cast("int")).alias("shared"))
-    return kept.select("class_id", "n", "central", F.explode("shared.token").alias("token"))
+    kept = by_class.where(length > 0).select("class_id", "n", "central", F.size("shared").alias("size"), F.posexplode(F.slice("shared", F.lit(1), length.cast("int"))).alias("place", "one"))
+    return kept.select("class_id", "n", (F.col("size") - F.col("place")).alias("rest"), "central", F.col("one.token").alias("token"))
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -196,27 +216,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return passed.where(100 * common >= percent * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
 
 
-def _similar_size(one: str, two: str, percent: int) -> Column:
-    return (F.col(one) * 100 >= F.col(two) * percent) & (F.col(two) * 100 >= F.col(one) * percent)
+def _may_match(one: str, two: str, percent: int) -> Column:
+    """Whether sets (n, rest) that meet in a token, their first common one, can be alike: by size and by what is left."""
+    n, m = F.col(f"n{one}"), F.col(f"n{two}")
+    common = F.ceil(percent * (n + m) / (100 + percent))
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (F.least(f"rest{one}", f"rest{two}") >= common)
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes that give the components of all links."""
     lists = written(_prefix_lists(sets, percent), "prefix-lists")
-    heads = lists.groupBy("token").agg(F.max(F.struct("central", F.col("class_id").alias("head"), F.col("n").alias("head_n"))).alias("top")).select("token", "top.head", "top.head_n")
-    stars = lists.join(heads, "token").where((F.col("class_id") != F.col("head")) & _similar_size("n", "head_n", percent))
+    tops = lists.groupBy("token").agg(F.max(F.struct("central", F.col("class_id").alias("head"), F.col("n").alias("n_head"), F.col("rest").alias("rest_head"))).alias("top"))
+    stars = lists.join(tops.select("token", "top.head", "top.n_head", "top.rest_head"), "token").where((F.col("class_id") != F.col("head")) & _may_match("", "_head", percent))
     tried = written(stars.select(F.least("class_id", "head").alias("a"), F.greatest("class_id", "head").alias("b")).distinct(), "star-pairs")
     links = written(_verified(tried, sets, percent), "star-links")
-    if links.isEmpty():
-        labelled = lists.withColumn("label", F.col("class_id"))
-    else:
-        labels = connected_components(links).withColumnRenamed("node", "class_id")
-        labelled = lists.join(labels, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
-    labelled = written(labelled.drop("central"), "labelled-lists")
+    labels = connected_components(links).withColumnRenamed("node", "class_id")
+    labelled = lists.drop("central").join(labels, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
+    labelled = written(labelled, "labelled-lists")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("token")
     rest = labelled.join(mixed, "token")
-    one, two = (rest.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("class_id", "n", "label"))) for x in "ab")
-    across = one.join(two, "token").where((F.col("label_a") < F.col("label_b")) & _similar_size("n_a", "n_b", percent))
+    one, two = (rest.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("class_id", "n", "rest", "label"))) for x in "ab")
+    across = one.join(two, "token").where((F.col("label_a") < F.col("label_b")) & _may_match("_a", "_b", percent))
     across = across.select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = written(_verified(across, sets, percent), "links-across")
     return links.unionByName(more)
