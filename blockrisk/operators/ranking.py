@@ -1,50 +1,26 @@
 """Global order without a global window.
 
-A window with no partition, or one partitioned by a two-valued label, runs in
-one task. Here the ordered key space is cut into ranges; each range is a window
-partition of its own, and range totals (a few hundred rows) carry the sums over.
-Cut points come from the rows with the smallest hashes, a uniform sample that is
-the same on every run; they steer balance only, never the result.
+A window with no partition, or one partitioned by a two-valued label, runs in one task. Here the
+rows are dealt into ranges of their keys; each range is a window partition of its own, and the
+range totals, one row per range, carry the sums over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_RANGES = 1024
-SAMPLE_PER_RANGE = 32
+from blockrisk.session import stored
+
+#: Ranges are as many as shuffle partitions, or more where one would get more rows than this.
+ROWS_PER_RANGE = 1 << 20
 
 
 def _range_count(df: DataFrame) -> int:
-    """As many ranges as shuffle partitions, within limits that keep the cut list short."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_RANGES, max(16, partitions))
-
-
-def _struct(names: Sequence[str], row: str = "") -> str:
-    """Struct of columns; lambda names start with two underscores to stay clear of these."""
-    fields = ", ".join(f"'{n}', {row}`{n}`" for n in names)
-    return f"named_struct({fields})"
-
-
-def _sort_key(keys: Sequence[str], row: str = "") -> str:
-    """A lone key as it is, several as a struct; a null key falls into the first range."""
-    return f"{row}`{keys[0]}`" if len(keys) == 1 else _struct(keys, row)
-
-
-def _cut_points(df: DataFrame, keys: Sequence[str], ranges: int, sample: int) -> Column:
-    # The whole row is sampled: a narrower one would make the optimizer plan, and run,
-    # a second copy of the aggregation under ``df`` instead of reusing its shuffle.
-    smallest = df.orderBy(F.xxhash64(*keys)).limit(sample)
-    rows = f"collect_list({_struct(df.columns)})"
-    ordered = smallest.selectExpr(
-        f"array_sort(transform({rows}, __row -> {_sort_key(keys, '__row.')})) AS _sorted"
-    )
-    step = f"greatest(bigint(ceil(size(_sorted) / {ranges})), 1)"
-    return ordered.selectExpr(f"filter(_sorted, (__cut, __i) -> __i % {step} = 0) AS cuts").scalar()
+    return max(partitions, -(-df.count() // ROWS_PER_RANGE))
 
 
 def running_totals(
@@ -56,44 +32,30 @@ def running_totals(
     """Adds ``<name>_before`` (sum over smaller keys) and ``<name>_total``.
 
     ``keys`` must identify rows: aggregate per key first, which also collapses a
-    key shared by a large part of the input.
+    key shared by a large part of the input. The rows are stored twice: as given,
+    to count and sample them for the cuts, and under their range, so that totals
+    and sums read one and the same dealing.
     """
     keys = list(keys)
-    ranges = ranges or _range_count(df)
-    cuts = _cut_points(df, keys, ranges, ranges * SAMPLE_PER_RANGE)
-    valued = df.withColumns({"_cuts": cuts} | {f"_v_{name}": c for name, c in values.items()})
-    # The range comes out of a generator: as a plain expression the optimizer would copy it,
-    # subquery and all, into a filter on the other side of the join below.
-    ranged = valued.selectExpr(
-        "*", f"explode(array(size(filter(_cuts, __cut -> __cut <= {_sort_key(keys)})))) AS _range"
-    ).drop("_cuts").repartition("_range")
-    # The checksum reads every column, so that this aggregate and the window below ask
-    # for the same shuffle and it runs once.
-    whole_row = ", ".join(f"`{c}`" for c in df.columns)
-    per_range = ranged.groupBy("_range").agg(
-        *[F.expr(f"sum(`_v_{n}`) AS `_s_{n}`") for n in values],
-        F.expr(f"bit_xor(xxhash64({whole_row})) AS _check"),
-    )
-    # At most ranges + 1 rows, folded into one row and spread out again with their offsets.
-    sums = [f"_s_{n}" for n in values]
-    parts = per_range.selectExpr(f"collect_list({_struct(['_range', '_check', *sums])}) AS _p")
-
-    def over(name: str, rows: str) -> str:
-        zero = f"cast(0 AS {per_range.schema[f'_s_{name}'].dataType.simpleString()})"
-        return f"aggregate({rows}, {zero}, (t, o) -> t + o.`_s_{name}`)"
-
-    offsets = parts.selectExpr("_p", "explode(_p) AS _part").selectExpr(
-        "_part._range AS _range",
-        *[f"{over(n, 'filter(_p, o -> o._range < _part._range)')} AS `_o_{n}`" for n in values],
-        *[f"{over(n, '_p')} AS `{n}_total`" for n in values],
+    given = stored(df.withColumns({f"_v_{name}": c for name, c in values.items()}), "ranked")
+    ranges = ranges or _range_count(given)
+    dealt = given.repartitionByRange(ranges, *keys).withColumn("_range", F.spark_partition_id())
+    ranged = stored(dealt, "ranges")
+    sums = ranged.groupBy("_range").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in values])
+    # Windows over one row per range.
+    smaller = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "_range",
+        *[F.coalesce(F.sum(f"_s_{n}").over(smaller), F.col(f"_s_{n}") * 0).alias(f"_o_{n}") for n in values],
+        *[F.sum(f"_s_{n}").over(Window.partitionBy()).alias(f"{n}_total") for n in values],
     )
-    joined = ranged.join(F.broadcast(offsets), "_range", "left")
-    order = ", ".join(f"`{k}`" for k in keys)
-    window = f"(PARTITION BY _range ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return joined.selectExpr(
-        *[f"`{c}`" for c in df.columns],
-        *[f"`_o_{n}` + coalesce(sum(`_v_{n}`) OVER {window}, 0) AS `{n}_before`" for n in values],
-        *[f"`{n}_total`" for n in values],
+    # Dealt by range of the range's number: no two ranges meet in one task while another has none.
+    joined = ranged.join(offsets, "_range").repartitionByRange(ranges, "_range")
+    window = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[(F.col(f"_o_{n}") + F.coalesce(F.sum(f"_v_{n}").over(window), F.col(f"_o_{n}") * 0)).alias(f"{n}_before") for n in values],
+        *[f"{n}_total" for n in values],
     )
 
 

@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockrisk.functions import geometry as G
+from blockrisk.session import stored
 
 BROADCAST_BYTES = 256 << 20
-HOT_SHARE = 1 / 256
-SALTS = 64
+#: A cell with more points than this is dealt over as many tasks as it fills.
+POINTS_PER_SALT = 1 << 18
 
 _SMALLEST_EXTENT = 1e-12
 
@@ -73,10 +74,12 @@ class PolygonCover:
         kept = [f"`{c}`" for c in (key, *carry)]
         shapes = shape_columns(polygons, key, rings, carry)
         cells = f"size({_span('x', '_cell')}) * size({_span('y', '_cell')})"
-        # One row about the polygon side alone: distinct levels (a few dozen at most) and size.
+        # One row about the polygon side alone: distinct levels (a few dozen at most) and size,
+        # from above: fixed columns, an edge of four doubles in an array, carried values as JSON.
+        carried = "".join(f" + coalesce(octet_length(to_json(struct(`{c}`))), 0) + 32" for c in (key, *carry))
         stats = shapes.selectExpr(
             "collect_set(_level) AS levels",
-            f"sum(bigint({cells} * ({96 + 32 * len(carry)} + size(_edges) * 40))) AS bytes",
+            f"sum(bigint({cells}) * (128{carried} + size(_edges) * 56)) AS bytes",
         ).first()
         # Edges are cut to the cell before the rows fan out, so each list is built once.
         near = (
@@ -133,31 +136,49 @@ class PolygonCover:
         return hits.select(*points.columns, self.key, *self.carry)
 
 
+    def locate_all(self, points: DataFrame, x: str = "lon", y: str = "lat", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+        """Every point with the keys of the polygons that strictly contain it, or one row of nulls.
+
+        A cell's shapes are one array, so a join per grid level keeps one row per point, whatever
+        keys the points have; the hits of all levels are tested and spread out at the end.
+        """
+        kept = (self.key, *self.carry)
+        shape = ["_xmin", "_xmax", "_ymin", "_ymax", "_whole", "_edges"]
+        cells = self.rows.groupBy("_level", "_cx", "_cy").agg(F.collect_list(F.struct(*kept, *shape)).alias("_shapes"))
+        found, hits = points.selectExpr("*", f"`{x}` AS _px", f"`{y}` AS _py"), []
+        inside = (
+            "_px > __s._xmin and _px < __s._xmax and _py > __s._ymin and _py < __s._ymax "
+            f"and (__s._whole or {G.strictly_inside('__s._edges', '_px', '_py')})"
+        )
+        fields = ", ".join(f"'{c}', __s.`{c}`" for c in kept)
+        for number, level in enumerate(self.levels):
+            side = cells.filter(F.col("_level") == level).select("_cx", "_cy", F.col("_shapes").alias(f"_shapes{number}"))
+            if self.size_bytes <= broadcast_bytes:
+                side = F.broadcast(side)
+            placed = found.selectExpr("*", f"{_index('_px', f'{2.0 ** level}D')} AS _cx", f"{_index('_py', f'{2.0 ** level}D')} AS _cy")
+            found = placed.join(side, ["_cx", "_cy"], "left").drop("_cx", "_cy")
+            hits.append(f"transform(filter(coalesce(_shapes{number}, array()), __s -> {inside}), __s -> named_struct({fields}))")
+        if not hits:
+            nothing = self.rows.select(*kept).schema
+            return points.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in nothing])
+        spread = found.selectExpr(*[f"`{c}`" for c in points.columns], f"explode_outer(concat({', '.join(hits)})) AS _hit")
+        return spread.select(*[F.col(f"`{c}`") for c in points.columns], *[F.col(f"_hit.`{c}`").alias(c) for c in kept])
+
+
 def _salted_join(points: DataFrame, cover: DataFrame, on: list[str], spread: Column) -> DataFrame:
     """Shuffled join in which a crowded cell is dealt over several tasks.
 
-    Cells with more than ``HOT_SHARE`` of the points are few by definition
-    (fewer than ``1 / HOT_SHARE``), so that list is safe to broadcast. Their cover
-    rows are copied once per salt; all other cells keep salt 0.
+    A cell gets one salt for each ``POINTS_PER_SALT`` of its points; its cover rows
+    are copied once per salt. All other cells keep salt 0.
     """
     counts = points.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = points.agg((F.count(F.lit(1)) * HOT_SHARE).alias("_limit")).scalar()
-    hot = counts.filter(F.col("_n") > total).select(*on, F.lit(True).alias("_hot"))
-    salted_points = points.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(0),
-    )
-    salted_cover = cover.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    return salted_points.drop("_hot").join(
-        salted_cover.drop("_hot"), [*on, "_salt"]
+    crowded = counts.filter(F.col("_n") > POINTS_PER_SALT).select(
+        *on, F.ceil(F.col("_n") / POINTS_PER_SALT).cast("int").alias("_salts")
     )
+    salts = F.coalesce("_salts", F.lit(1))
+    salted_points = points.join(crowded, on, "left").withColumn("_salt", F.pmod(spread, salts).cast("int"))
+    salted_cover = cover.join(crowded, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return salted_points.drop("_salts").join(salted_cover.drop("_salts"), [*on, "_salt"])
 
 
 def points_in_polygons(
@@ -183,17 +204,20 @@ def polygons_with_points(
     shuffles.
     """
     located = points_in_polygons(points, polygons, key, **kwargs).select(key, *points.columns)
+    located = stored(located, "located")  # read twice: whole, and for its keys alone
     empty = polygons.select(key).join(located.select(key).distinct(), key, "left_anti")
     return located.unionByName(empty, allowMissingColumns=True)
 
 
 def locate_points(
-    points: DataFrame, polygons: DataFrame, point_key: str, key: str = "GISJOIN", **kwargs: str
+    points: DataFrame, polygons: DataFrame, point_key: str | None = None, key: str = "GISJOIN", rings: str = "rings",
+    x: str = "lon", y: str = "lat",
 ) -> DataFrame:
-    """Every point, with its polygon key or null when no polygon contains it."""
-    x, y = kwargs.get("x", "lon"), kwargs.get("y", "lat")
-    located = points_in_polygons(points.select(point_key, x, y), polygons, key, **kwargs)
-    return points.join(located.select(point_key, key), point_key, "left")
+    """Every point row, with its polygon key or null when no polygon contains it.
+
+    Rows are told apart by themselves: ``point_key`` may repeat, or be left out.
+    """
+    return PolygonCover.build(polygons, key, rings).locate_all(points, x, y)
 
 
 def polygons_intersect(

@@ -15,7 +15,8 @@ from blockrisk.operators.ranking import histogram, running_totals
 
 
 def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
-    counts = df.groupBy(F.col(score).alias("threshold")).agg(
+    # A row without a score is in no curve; as a null it would rank below all others.
+    counts = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum(1 - F.col(label).cast("long")).alias("neg"),
     )

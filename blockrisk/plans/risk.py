@@ -54,8 +54,7 @@ def risk_at_locations(
     """
     inside = locations.filter(C.in_city_box("lon", "lat", box) == 1)
     cover = PolygonCover.build(risk, key, carry=["score", "highrisk"])
-    found = cover.locate(inside.select(location_key, "lon", "lat")).drop("lon", "lat")
-    return inside.join(found, location_key, "left")
+    return cover.locate_all(inside)
 
 
 def _share(condition: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +29,10 @@ def build_session(app: str = "blockrisk", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which every executor can read.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would not survive the loss of an executor.
+    Where it is unset, a folder in the warehouse, which they share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="blockrisk-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -46,6 +40,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: lineage ends, and later readers prune columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage where several results read one costly input."""
     context = df.sparkSession.sparkContext

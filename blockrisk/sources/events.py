@@ -16,6 +16,7 @@ from blockrisk.functions import fields as C
 from blockrisk.operators import aggregates as A
 from blockrisk.operators import panel as P
 from blockrisk.operators.spatial import PolygonCover
+from blockrisk.session import stored
 from blockrisk.sources.files import timestamp_column
 
 FIRE_COLUMNS = list(C.FIRE_CLASSES)
@@ -87,7 +88,7 @@ def per_block_year(points: DataFrame, cover: PolygonCover) -> DataFrame:
 
 def fires_per_block_year(points: DataFrame, blocks: DataFrame, cover: PolygonCover) -> DataFrame:
     """Dense over all blocks and the years with any fire, zeros filled."""
-    counts = per_block_year(points, cover)
+    counts = stored(per_block_year(points, cover), "block-years")  # for the years and for the counts
     spine = P.observed_year_spine(blocks.select(cover.key), counts)
     return P.left_fill(spine, counts, [cover.key, P.YEAR])
 

@@ -31,12 +31,12 @@ def read_csv(
     path: str,
     columns: str | T.StructType,
     encoding: str = "UTF-8",
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header; columns are found by name, in whatever order the file has.
 
-    Files with line breaks inside quotes need ``multi_line``, which gives up
-    splitting a file over several tasks.
+    Records may hold line breaks inside quotes; a file is then one task's work. For files
+    known to have none, ``multi_line=False`` lets Spark split them.
     """
     schema = columns if isinstance(columns, T.StructType) else T.StructType.fromDDL(columns)
     raw = (
@@ -126,17 +126,6 @@ def read_scoring_set(spark: SparkSession, path: str, target_year: int, year: str
     return spark.read.parquet(path).filter(F.col(year) == target_year)
 
 
-def spread_small_scan(df: DataFrame, by: str) -> DataFrame:
-    """Deals the rows of a few files over all cores.
-
-    Only for scans with fewer files than cores, which would leave cores idle in
-    the join that follows; a large table has many files and is left as it is.
-    Dealing by a column's hash needs no sort to be repeatable.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if len(df.inputFiles()) < cores else df
-
-
 def timestamp_column(df: DataFrame, name: str, parse: Callable[[Column], Column]) -> Column:
     """A date column as it is, or parsed when the file gives text."""
     c = F.col(f"`{name}`")
