@@ -101,8 +101,30 @@ def shapes_meet(edges_a: str, edges_b: str, starts_a: str, starts_b: str) -> str
     )
 
 
+def ring_within(ring: str, other: str) -> str:
+    """Whether ``ring`` lies in ``other``, for rings that do not cross: one of its vertices does."""
+    return f"exists({ring}, __v -> {strictly_inside(ring_edges(other), '__v.x', '__v.y')})"
+
+
+def ring_depths(rings: str) -> str:
+    """For each ring the number of rings around it: even for outer rings of a part, odd for holes."""
+    around = f"filter({rings}, (__o, __j) -> __j <> __i and {ring_within('__r', '__o')})"
+    return f"transform({rings}, (__r, __i) -> if(size({rings}) = 1, 0, size({around})))"
+
+
+def parts_of(rings: str, depths: str) -> str:
+    """Rings as parts: every outer ring followed by its holes."""
+    holes = (
+        f"filter({rings}, (__h, __k) -> {depths}[__k] = {depths}[__n] + 1 and {ring_within('__h', f'{rings}[__n]')})"
+    )
+    outer = f"filter(sequence(0, size({rings}) - 1), __n -> {depths}[__n] % 2 = 0)"
+    return f"if(size({rings}) = 0, array(), transform({outer}, __n -> concat(array({rings}[__n]), {holes})))"
+
+
 def centroid(rings: str) -> tuple[str, str]:
-    """Area centroid of the outer ring minus its holes, by shoelace sums.
+    """Area centroid of all parts minus their holes, by shoelace sums.
+
+    A ring counts as a hole if an odd number of rings lie around it.
 
     Sums run relative to the first vertex: with coordinates near (-122, 37) and
     parcels of some metres, absolute products would lose most digits. Rings are
@@ -117,8 +139,8 @@ def centroid(rings: str) -> tuple[str, str]:
         f"'my', __s.my + ({y1} + {y2}) * {cross}))"
     )
     signed = (
-        f"transform(transform({rings}, __r -> {moments}), (__m, __i) -> "
-        "named_struct('m', __m, 'sign', signum(__m.a) * if(__i = 0, 1D, -1D)))"
+        f"zip_with(transform({rings}, __r -> {moments}), {ring_depths(rings)}, (__m, __d) -> "
+        "named_struct('m', __m, 'sign', signum(__m.a) * if(__d % 2 = 0, 1D, -1D)))"
     )
 
     def total(name: str) -> str:

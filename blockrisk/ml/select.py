@@ -47,7 +47,10 @@ class ImportanceSelector(
         settings = {"featuresCol": self.getFeaturesCol(), "labelCol": self.getLabelCol()}
         if self.getOrDefault(self.weightCol):
             settings["weightCol"] = self.getOrDefault(self.weightCol)
-        if kind != "logistic":
+        if kind == "logistic":
+            # A ridge of C = 1 over summed losses, on features as they come.
+            settings |= {"regParam": 1.0 / max(1, dataset.count()), "standardization": False}
+        else:
             settings["seed"] = self.getOrDefault(self.seed)
         model = BASES[kind](**settings).fit(dataset)
         if kind == "logistic":

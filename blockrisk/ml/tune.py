@@ -50,7 +50,8 @@ def learning_curve(
     """Mean and deviation of the training and validation area at growing train sizes.
 
     The sizes are nested: each takes the first rows, in key order, of the fold's
-    training part. A size with a single label gives no model and no figure.
+    training part. Folds whose part has a single label give no model: ``fits`` says how
+    many folds the figures of a size rest on, which are null where none does.
     """
     folded = materialize(stratified_folds(train, key, folds=folds))
     evaluator = area_evaluator()
@@ -63,6 +64,7 @@ def learning_curve(
             size = max(1, int(rows * fraction))
             part = rest.filter(F.col("_row") <= size)
             if part.agg(F.count_distinct("label")).first()[0] < 2:
+                points.append((float(fraction), size, None, None))
                 continue
             model = pipeline.fit(part)
             points.append((
@@ -71,12 +73,12 @@ def learning_curve(
                 float(evaluator.evaluate(model.transform(held))),
             ))
         rest.unpersist()
-    # One row per model fitted.
+    # One row per fold and size.
     table = train.sparkSession.createDataFrame(
         points, "fraction double, rows long, train double, validation double"
     )
     return table.groupBy("fraction").agg(
-        F.round(F.avg("rows")).cast("long").alias("rows"),
+        F.round(F.avg("rows")).cast("long").alias("rows"), F.count("train").alias("fits"),
         *[
             f(side).alias(f"{side}_{name}")
             for side in ("train", "validation")

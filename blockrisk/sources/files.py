@@ -82,16 +82,16 @@ def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
 
 
 def geojson_features(df: DataFrame, properties: Sequence[str], rings: str = "rings") -> DataFrame:
-    """One JSON feature per row in a ``value`` column."""
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*properties).alias("properties"),
-        F.struct(
-            F.lit("Polygon").alias("type"),
-            G.coordinates_from_rings(F.col(rings)).alias("coordinates"),
-        ).alias("geometry"),
-    )
-    return df.select(F.to_json(feature).alias("value"))
+    """One JSON feature per row in a ``value`` column: a Polygon, or a MultiPolygon where there are several parts."""
+    parted = df.withColumn("_depths", F.expr(G.ring_depths(f"`{rings}`"))).withColumn("_parts", F.expr(G.parts_of(f"`{rings}`", "_depths")))
+
+    def feature(kind: str, coordinates: Column) -> Column:
+        geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), geometry.alias("geometry")))
+
+    single = feature("Polygon", G.coordinates_from_rings(F.get("_parts", F.lit(0))))
+    several = feature("MultiPolygon", F.transform("_parts", G.coordinates_from_rings))
+    return parted.select(F.when(F.size("_parts") > 1, several).otherwise(single).alias("value"))
 
 
 def write_geojson(df: DataFrame, path: str, properties: Sequence[str], rings: str = "rings") -> None:

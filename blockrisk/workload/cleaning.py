@@ -305,6 +305,15 @@ def _(spark, d):
     return back.groupBy("Location", "Primary Situation").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("csv_line_breaks", "Location s, n i", f"""
+    SELECT 'at ' || coalesce("Location", '') || chr(10) || 'SF, "CA"' AS "Location", count(*) AS n FROM {src('fires')} GROUP BY 1""")
+def _(spark, d):
+    path = scratch_path(spark, "broken-csv")
+    wrapped = F.concat(F.lit("at "), F.coalesce("Location", F.lit("")), F.lit('\nSF, "CA"'))
+    files.write_csv(T.logical(spark, d, "fires").withColumn("Location", wrapped), path)
+    return files.read_csv(spark, path, files.FIRE_SCHEMA).groupBy("Location").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("csv_encoding", "name s, n i", """
     SELECT 'café ' || c_mktsegment AS name, count(*) AS n FROM customer GROUP BY 1""")
 def _(spark, d):

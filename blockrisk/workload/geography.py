@@ -10,7 +10,8 @@ from blockrisk.operators import aggregates as A
 from blockrisk.operators import panel as P
 from blockrisk.operators import spatial as S
 from blockrisk.plans import features
-from blockrisk.sources import census, events, property
+from blockrisk.session import scratch_path
+from blockrisk.sources import census, events, files, property
 from blockrisk.workload import tables as T
 from blockrisk.workload.registry import query
 
@@ -226,6 +227,40 @@ def _(spark, d):
     return T.parcels(spark, d).select("block_num", x.alias("lon"), y.alias("lat"))
 
 
+def _two_parts(spark, d):
+    """Parcels with a second part of half their side, ten sides to the east."""
+    second = "transform(rings[0], p -> named_struct('x', (p.x - x) / 2 + x + 10 * (x2 - x), 'y', (p.y - y) / 2 + y))"
+    corners = T.logical(spark, d, "landuse").selectExpr("block_num", "x", "y", "x2", "y2")
+    return T.parcels(spark, d).select("block_num", "rings").join(corners, "block_num").withColumn("rings", F.expr(f"concat(rings, array({second}))"))
+
+
+@query("centroid_multipart", "block_num s, lon f, lat f", f"""
+    SELECT block_num, (4 * (x + x2) / 2 + x + 10.25 * (x2 - x)) / 5 AS lon, (4 * (y + y2) / 2 + y + 0.25 * (y2 - y)) / 5 AS lat
+    FROM {src('landuse')}""")
+def _(spark, d):
+    x, y = map(F.expr, G.centroid("rings"))
+    return _two_parts(spark, d).select("block_num", x.alias("lon"), y.alias("lat"))
+
+
+@query("geojson_multipart", "block_num s, kind s, parts i, xmin f, xmax f, ymax f", f"""
+    SELECT block_num, 'MultiPolygon' AS kind, 2 AS parts, x AS xmin, x + 10.5 * (x2 - x) AS xmax, greatest(y, y2) AS ymax
+    FROM {src('landuse')}""")
+def _(spark, d):
+    path = scratch_path(spark, "geojson-parts")
+    files.write_geojson(_two_parts(spark, d), path, ["block_num"])
+    raw = spark.read.text(path).select(F.get_json_object("value", "$.properties.block_num").alias("block_num"), F.get_json_object("value", "$.geometry.type").alias("kind"))
+    back = files.read_geojson(spark, path, "block_num string")
+    bounds = G.bounds_of("rings")
+    return raw.join(back, "block_num").selectExpr("block_num", "kind", "size(rings) AS parts", f"{bounds['xmin']} AS xmin", f"{bounds['xmax']} AS xmax", f"{bounds['ymax']} AS ymax")
+
+
+@query("locate_points_repeated_key", "k i, lon f, GISJOIN s", f"""
+    {_SITES} SELECT 1 AS k, s.px AS lon, h."GISJOIN" FROM sites_p s LEFT JOIN hits h ON h.event_id = s.event_id""")
+def _(spark, d):
+    sites = T.logical(spark, d, "sites").select(F.lit(1).alias("k"), "lon", "lat")
+    return S.locate_points(sites, T.blocks(spark, d), "k").select("k", "lon", "GISJOIN")
+
+
 # --- blocks and spine ---
 
 _CITY = f"""

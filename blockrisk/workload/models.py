@@ -11,7 +11,7 @@ from blockrisk.ml import split as M
 from blockrisk.ml import tune
 from blockrisk.operators import panel as P
 from blockrisk.plans import evaluation
-from blockrisk.session import materialize
+from blockrisk.session import materialize, scratch_path
 from blockrisk.workload import panels
 from blockrisk.workload import tables as T
 from blockrisk.workload.registry import query
@@ -112,8 +112,90 @@ def _(spark, d):
     return ML.top_importances(pipeline.fit(train), FEATURES, 49)
 
 
-@query("learning_curve", "fraction f, rows i, train_mean f, train_std f, validation_mean f, validation_std f")
+@query("learning_curve", "fraction f, rows i, fits i, train_mean f, train_std f, validation_mean f, validation_std f")
 def _(spark, d):
     train = model_rows(spark, d).filter(F.col("split") == "train")
-    pipeline = ML.logistic_pipeline(FEATURES, select=False, rows=1000)
+    pipeline = ML.logistic_pipeline(FEATURES, select=False, rows=train.count())
     return tune.learning_curve(pipeline, train, "key", fractions=(0.1, 1.0), folds=2)
+
+
+# --- a label that one feature decides: facts that any right model must give ---
+
+DECIDED = ["nation", "balance", "name_length"]
+_DECIDED_SQL = "SELECT c_custkey AS key, c_nationkey AS nation, CASE WHEN c_nationkey >= 12 THEN 1 ELSE 0 END AS label FROM customer"
+
+
+def decided_rows(spark, d) -> DataFrame:
+    return T.read(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("key"), F.col("c_nationkey").cast("double").alias("nation"),
+        F.col("c_acctbal").cast("double").alias("balance"), F.length("c_name").cast("double").alias("name_length"),
+        (F.col("c_nationkey") >= 12).cast("int").alias("label"),
+    )
+
+
+def _decided_pipelines(rows: DataFrame, select: bool):
+    return {
+        "boosted": ML.boosted_pipeline(DECIDED, select=select, seed=SEED, maxIter=3, maxDepth=2),
+        "forest": ML.forest_pipeline(DECIDED, select=select, seed=SEED, numTrees=20, maxDepth=4, featureSubsetStrategy="all"),
+        "logistic": ML.logistic_pipeline(DECIDED, select=select, rows=rows.count()),
+    }
+
+
+@query("decided_areas", "model s, auc f", """
+    SELECT unnest(['boosted', 'forest', 'logistic']) AS model, 1.0 AS auc""")
+def _(spark, d):
+    """Area of each kind of model behind the selection of features."""
+    rows, result = decided_rows(spark, d), None
+    for name, pipeline in _decided_pipelines(rows, select=True).items():
+        area = evaluation.roc_auc(ML.scored(pipeline.fit(rows), rows, ["label"])).select(F.lit(name).alias("model"), "auc")
+        result = area if result is None else result.unionByName(area)
+    return result
+
+
+@query("decided_features", "model s, feature s", """
+    SELECT unnest(['boosted', 'forest', 'logistic']) AS model, 'nation' AS feature""")
+def _(spark, d):
+    """Features that the selection keeps."""
+    rows = decided_rows(spark, d)
+    kept = [(n, f) for n, p in _decided_pipelines(rows, select=True).items() for f in ML.kept_features(p.fit(rows), DECIDED)]
+    return spark.createDataFrame(kept, "model string, feature string").select("model", "feature")
+
+
+@query("decided_importance", "model s, feature s", """
+    SELECT unnest(['boosted', 'forest', 'logistic']) AS model, 'nation' AS feature""")
+def _(spark, d):
+    """The most important feature without selection."""
+    rows, result = decided_rows(spark, d), None
+    for name, pipeline in _decided_pipelines(rows, select=False).items():
+        top = ML.top_importances(pipeline.fit(rows), DECIDED, 1).select(F.lit(name).alias("model"), "feature")
+        result = top if result is None else result.unionByName(top)
+    return result
+
+
+@query("decided_scores", "label i, prediction i, n i, off i", f"""
+    SELECT label, label AS prediction, count(*) AS n, 0 AS off FROM ({_DECIDED_SQL}) q GROUP BY 1""")
+def _(spark, d):
+    """Class per label; ``off`` counts rows whose score is not ten times the probability or disagrees with the class."""
+    rows = decided_rows(spark, d)
+    scores = ML.scored(_decided_pipelines(rows, select=False)["forest"].fit(rows), rows, ["label"])
+    wrong = (F.abs(F.col("score") - 10 * F.col("probability")) > 1e-9) | ((F.col("score") > 5).cast("int") != F.col("prediction"))
+    return scores.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"), F.sum(wrong.cast("int")).alias("off"))
+
+
+@query("reloaded_model", "n i, off i", "SELECT count(*) AS n, 0 AS off FROM customer")
+def _(spark, d):
+    """Rows that a saved and reloaded model scores otherwise than before."""
+    rows = decided_rows(spark, d)
+    model, path = _decided_pipelines(rows, select=True)["forest"].fit(rows), scratch_path(spark, "model")
+    ML.save(model, path)
+    before, after = (ML.scored(m, rows, ["key"]).select("key", F.col("score").alias(f"score{k}")) for k, m in enumerate((model, ML.load(path))))
+    return before.join(after, "key").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("score0") != F.col("score1")).cast("int")).alias("off"))
+
+
+@query("grid_search_best", "parameters s, best i", "SELECT 'maxDepth=0' AS parameters, 0 AS best UNION ALL SELECT 'maxDepth=3', 1")
+def _(spark, d):
+    """Five folds over a grid of which one entry can tell the labels apart."""
+    rows = decided_rows(spark, d)
+    pipeline = ML.forest_pipeline(DECIDED, select=False, seed=SEED, numTrees=5, featureSubsetStrategy="all")
+    table = tune.grid_search(pipeline, ML.grid_of(pipeline, {"maxDepth": [0, 3]}), rows, "key")[1]
+    return table.select("parameters", (F.col("mean_auc") > 0.999).cast("int").alias("best"))
