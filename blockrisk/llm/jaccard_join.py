@@ -223,8 +223,8 @@ def _may_match(one: str, two: str, percent: int) -> Column:
     return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (F.least(f"rest{one}", f"rest{two}") >= common)
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes that give the components of all links."""
+def _components(sets: DataFrame, percent: int) -> DataFrame:
+    """(class_id, label): the components of all links between classes, for those that have links."""
     lists = written(_prefix_lists(sets, percent), "prefix-lists")
     tops = lists.groupBy("token").agg(F.max(F.struct("central", F.col("class_id").alias("head"), F.col("n").alias("n_head"), F.col("rest").alias("rest_head"))).alias("top"))
     stars = lists.join(tops.select("token", "top.head", "top.n_head", "top.rest_head"), "token").where((F.col("class_id") != F.col("head")) & _may_match("", "_head", percent))
@@ -239,7 +239,20 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     across = one.join(two, "token").where((F.col("label_a") < F.col("label_b")) & _may_match("_a", "_b", percent))
     across = across.select(F.least("class_id_a", "class_id_b").alias("a"), F.greatest("class_id_a", "class_id_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = written(_verified(across, sets, percent), "links-across")
-    return links.unionByName(more)
+    return _joined(labels, more)
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (class_id, label) after further links: only the components that these touch are labelled again."""
+    if links.isEmpty():
+        return labels
+    name = lambda x: labels.select(F.col("class_id").alias(x), F.col("label").alias(f"label_{x}"))
+    between = links.join(name("a"), "a", "left").join(name("b"), "b", "left")
+    between = between.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    over = connected_components(between)
+    known = labels.unionByName(over.select(F.col("node").alias("class_id"), F.col("node").alias("label"))).distinct()
+    tops = over.select(F.col("node").alias("label"), F.col("label").alias("top"))
+    return known.join(tops, "label", "left").select("class_id", F.coalesce("top", "label").alias("label"))
 
 
 def near_duplicate_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -252,8 +265,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = WORDS, percent: int = PE
     wanted = classes.join(_shared_prefix_counts(keys), "key").where((F.col("hits") >= enough)).select("print", "class_id", "n", "rep_doc")
     wanted = written(wanted, "with-partners")
     sets = written(_sets_of(rows, wanted, words, percent), "sets")
-    links = _links(sets, percent)
-    labels = connected_components(links).withColumnRenamed("node", "class_id")
+    labels = _components(sets, percent)
     named = classes.join(labels, "class_id", "left").select("print", "rep_doc", F.coalesce("label", "class_id").alias("label"))
     names = named.groupBy("label").agg(F.min("rep_doc").alias("component_id"))
     by_print = named.join(names, "label").select("print", "component_id")
