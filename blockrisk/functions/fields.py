@@ -154,3 +154,8 @@ def score_of(probability: Column | str) -> Column:
 
 def display_score(score: Column | str, digits: int = 1) -> Column:
     return F.format_number(col(score), digits)
+
+
+def before_year(column: str, year: int) -> Column:
+    """Dates before a year as one comparison with its first day, which reaches the scan."""
+    return F.col(column) < F.to_date(F.lit(f"{year:04d}-01-01"))

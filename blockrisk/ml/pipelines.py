@@ -21,6 +21,7 @@ from blockrisk.ml.select import ImportanceSelector
 
 # Default grids. Forest and boosted names are Spark ML parameters.
 LOGISTIC_GRID = {"C": [0.1, 1.0, 10.0], "penalty": ["l1", "l2"]}
+LOGISTIC_SEARCH_GRID = LOGISTIC_GRID | {"class_weight": [None, "balanced"]}
 FOREST_GRID = {"numTrees": [10, 20, 30], "maxDepth": [5, 8, 10], "minInstancesPerNode": [50, 60, 80]}
 FINAL_FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [8, 15], "minInstancesPerNode": [10, 20, 30]}
 BOOSTED_GRID = {
@@ -79,7 +80,11 @@ def boosted_pipeline(
 
 
 def grid_of(pipeline: Pipeline, values: Mapping[str, Sequence], rows: int = 1) -> list[dict]:
-    """Parameter maps of the pipeline's classifier; ``C`` and ``penalty`` are translated."""
+    """Parameter maps of the pipeline's classifier.
+
+    ``C``, ``penalty`` and ``class_weight`` (None or "balanced") are translated; the last chooses
+    between the columns ``even`` and ``weight`` of ``with_class_weights``.
+    """
     classifier = pipeline.getStages()[-1]
     grid = ParamGridBuilder()
     for name, options in values.items():
@@ -89,6 +94,8 @@ def grid_of(pipeline: Pipeline, values: Mapping[str, Sequence], rows: int = 1) -
             grid = grid.addGrid(
                 classifier.elasticNetParam, [1.0 if p == "l1" else 0.0 for p in options]
             )
+        elif name == "class_weight":
+            grid = grid.addGrid(classifier.weightCol, ["weight" if o == "balanced" else "even" for o in options])
         else:
             grid = grid.addGrid(classifier.getParam(name), list(options))
     return grid.build()

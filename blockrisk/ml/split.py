@@ -35,7 +35,7 @@ def year_split(
 
 def feature_names(df: DataFrame, without: Sequence[str] = ()) -> list[str]:
     """Numeric columns that are neither targets, label nor named here."""
-    return A.numeric_columns(df, without=[*TARGETS, "label", "fold", "weight", *without])
+    return A.numeric_columns(df, without=[*TARGETS, "label", "fold", "weight", "even", *without])
 
 
 def hash_split(df: DataFrame, key: str, test_share: float = 0.3) -> DataFrame:
@@ -93,6 +93,6 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
-    """The balanced weight beside every row; the table joined has a row per label."""
+    """The balanced weight beside every row, and an ``even`` one; the table joined has a row per label."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(weights), label, "left")
+    return df.join(F.broadcast(weights), label, "left").withColumn("even", F.lit(1.0))

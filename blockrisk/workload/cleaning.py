@@ -214,9 +214,9 @@ def _(spark, d):
     SELECT count(*) FILTER (year(o_orderdate) < 2000) AS before,
            count(*) FILTER (year(o_orderdate) = 2000) AS during FROM orders""")
 def _(spark, d):
-    year = F.year("o_orderdate")
-    return T.read(spark, d, "orders").agg(
-        F.count_if(year < 2000).alias("before"), F.count_if(year == 2000).alias("during")
+    early = C.before_year("o_orderdate", 2000)
+    return T.read(spark, d, "orders").filter(C.before_year("o_orderdate", 2001)).agg(
+        F.count_if(early).alias("before"), F.count_if(~early).alias("during")
     )
 
 

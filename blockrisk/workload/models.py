@@ -182,6 +182,19 @@ def _(spark, d):
     return scores.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"), F.sum(wrong.cast("int")).alias("off"))
 
 
+@query("grid_search_weights", "candidates i, balanced i, found i", "SELECT 12 AS candidates, 6 AS balanced, 12 AS found")
+def _(spark, d):
+    """The whole logistic grid, class weight among its candidates; each tells these labels apart."""
+    rows = M.with_class_weights(decided_rows(spark, d))
+    pipeline = ML.logistic_pipeline(DECIDED, select=False, rows=rows.count())
+    grid = ML.grid_of(pipeline, ML.LOGISTIC_SEARCH_GRID, rows=rows.count())
+    table = tune.grid_search(pipeline, grid, rows, "key")[1]
+    return table.agg(
+        F.count(F.lit(1)).alias("candidates"), F.sum(F.col("parameters").contains("weightCol=weight").cast("int")).alias("balanced"),
+        F.sum((F.col("mean_auc") > 0.99).cast("int")).alias("found"),
+    )
+
+
 @query("reloaded_model", "n i, off i", "SELECT count(*) AS n, 0 AS off FROM customer")
 def _(spark, d):
     """Rows that a saved and reloaded model scores otherwise than before."""
