@@ -139,13 +139,15 @@ def fill_nulls(
 ) -> DataFrame:
     """Constants for the named columns, then the column mean for every other number.
 
-    Means come from the rows of ``fit_on`` (all rows when None), as a one-row
-    subquery; columns in ``keep``, such as targets, are left alone.
+    Means come from the rows of ``fit_on``, as a one-row subquery; without it from the
+    training rows where there is a ``split`` column, else from all rows. Columns in ``keep``, such as targets, are left alone.
     """
     filled = df.na.fill({c: v for c, v in constants.items() if c in df.columns})
     averaged = [c for c in numeric_columns(df, without=keep) if c not in constants]
     if not averaged:
         return filled
+    if fit_on is None and "split" in df.columns:
+        fit_on = F.col("split") == "train"
     base = filled if fit_on is None else filled.filter(fit_on)
     means = base.agg(F.struct(*[F.avg(c).alias(c) for c in averaged]).alias("_m")).scalar()
     return filled.withColumn("_means", means).select(

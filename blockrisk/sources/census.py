@@ -11,6 +11,7 @@ from blockrisk.functions import fields as C
 from blockrisk.functions import geometry as G
 from blockrisk.operators import panel as P
 from blockrisk.operators.spatial import polygons_intersect
+from blockrisk.session import stored
 
 # County, census columns and the year range of the panel.
 COUNTY = "San Francisco County"
@@ -83,16 +84,23 @@ def tracts_to_blocks(
     gini: DataFrame,
     county: str = COUNTY,
     tract_key: str = "TRACT",
+    box: tuple[float, float, float, float] | None = None,
+    projected: bool = False,
 ) -> DataFrame:
     """Tract figures for every block that meets the tract, shared borders included.
 
     A block meeting several tracts has several rows; a block meeting none has
-    nulls, and tracts meeting no block keep their figures without a block.
+    nulls, and tracts meeting no block keep their figures without a block. With
+    a ``box``, tracts whose interior point is outside it meet no block;
+    ``projected`` marks rings in the conic projection, which become degrees.
     """
     prices = in_county(prices, county).select(tract_key, "JOIE001", "JTIE001")
     gini = in_county(gini, county).select(tract_key, "J4TM001")
-    local = tracts.select(tract_key, "rings").join(prices.select(tract_key), tract_key, "left_semi")
-    pairs = polygons_intersect(blocks, local, "GISJOIN", tract_key, how="left")
-    return pairs.join(prices, tract_key, "outer").join(gini, tract_key, "outer").select(
-        "GISJOIN", "JOIE001", "JTIE001", "J4TM001"
-    )
+    inside = tracts if box is None else tracts.filter(C.in_city_box("INTPTLON10", "INTPTLAT10", box) == 1)
+    rings = G.reproject_rings(F.col("rings")) if projected else F.col("rings")
+    local = inside.select(tract_key, rings.alias("rings")).join(prices.select(tract_key), tract_key, "left_semi")
+    pairs = stored(polygons_intersect(blocks, local, "GISJOIN", tract_key), "tract-pairs")
+    # Blocks without a tract are appended: as null keys of an outer join they would meet in one task.
+    alone = blocks.select("GISJOIN").join(pairs.select("GISJOIN").distinct(), "GISJOIN", "left_anti")
+    met = pairs.join(prices, tract_key, "outer").join(gini, tract_key, "outer")
+    return met.select("GISJOIN", "JOIE001", "JTIE001", "J4TM001").unionByName(alone, allowMissingColumns=True)
