@@ -30,9 +30,8 @@ def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score, and the start at (0, 0)."""
-    points = _by_score(df, score, label).select(
+def _roc_points(ranked: DataFrame, df: DataFrame, score: str) -> DataFrame:
+    points = ranked.select(
         "threshold",
         F.try_divide("fp", "negatives").alias("fpr"),
         F.try_divide("tp", "positives").alias("tpr"),
@@ -43,15 +42,24 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> Data
     return points.unionByName(start)
 
 
-def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Area under the ROC curve as one row; ties count half."""
+def _area(ranked: DataFrame) -> DataFrame:
     above = F.col("tp") - F.col("pos")
     pairs = F.sum(F.col("neg") * (above + F.col("pos") / 2))
-    return _by_score(df, score, label).agg(
+    return ranked.agg(
         F.try_divide(pairs, F.max("positives").cast("double") * F.max("negatives")).alias("auc")
     )
 
 
+def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score, and the start at (0, 0)."""
+    return _roc_points(_by_score(df, score, label), df, score)
+
+
+def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Area under the ROC curve as one row; ties count half."""
+    return _area(_by_score(df, score, label))
+
+
 def precision_recall_curve(
     df: DataFrame, score: str = "score", label: str = "label"
 ) -> DataFrame:
@@ -95,11 +103,12 @@ def threshold_metrics(
 
 
 def compare_models(scored: Mapping[str, DataFrame], score: str = "score", label: str = "label") -> DataFrame:
-    """ROC curves and areas of several models in one table."""
+    """ROC curves and areas of several models in one table; each model's scores are ranked once."""
     result = None
     for name, df in scored.items():
-        curve = roc_curve(df, score, label).select(F.lit(name).alias("model"), "*").withColumn(
-            "auc", roc_auc(df, score, label).scalar()
+        ranked = _by_score(df, score, label)
+        curve = _roc_points(ranked, df, score).select(F.lit(name).alias("model"), "*").withColumn(
+            "auc", _area(ranked).scalar()
         )
         result = curve if result is None else result.unionByName(curve)
     return result

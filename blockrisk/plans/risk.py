@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockrisk.functions import fields as C
+from blockrisk.ml.pipelines import scored
+from blockrisk.ml.split import TARGETS, feature_names, year_split
 from blockrisk.operators import panel as P
+from blockrisk.operators.aggregates import fill_nulls
 from blockrisk.operators.ranking import flag_above_threshold, quantiles, row_numbers, top_k
 from blockrisk.operators.spatial import PolygonCover
+from blockrisk.session import stored
 
 # Blocks to flag per fire type.
 HIGH_RISK_BLOCKS = {"structure": 290, "external": 560, "vehicle": 180}
@@ -134,3 +141,27 @@ def feature_map(
     """One feature of one year beside the geometry, whose key has a shortened name."""
     values = features.filter(F.col(P.YEAR) == year).select(feature_key, feature)
     return P.join_renamed(shapes, values, shape_key, feature_key, "inner")
+
+
+def risk_of_year(
+    table: DataFrame, model: PipelineModel, fire_type: str, n: int | None = None, key: str = "GISJOIN"
+) -> DataFrame:
+    """Score and high-risk flag of every block in a scoring set, for a fire type's model."""
+    if fire_type not in FIRE_TYPES:
+        raise ValueError(f"unknown fire type {fire_type}")
+    scores = scored(model, table, [key])
+    return flag_above_threshold(scores, "score", HIGH_RISK_BLOCKS[fire_type] if n is None else n)
+
+
+def risk_lifecycle(
+    table: DataFrame, fire_type: str, year: int, pipeline_of: Callable[[list[str]], Pipeline], key: str = "GISJOIN"
+) -> tuple[DataFrame, DataFrame]:
+    """From a yearly feature table to the year's risk: (rows with their split, scored and flagged blocks).
+
+    Means for nulls come from the training years; the model learns from those alone.
+    """
+    rows = year_split(table, FIRE_TYPES[fire_type][0], year)
+    filled = stored(fill_nulls(rows, {}, keep=["label", *TARGETS]), "risk-rows")
+    names = feature_names(filled, without=[P.YEAR])
+    model = pipeline_of(names).fit(filled.filter(F.col("split") == "train"))
+    return filled, risk_of_year(filled.filter(F.col("split") == "future"), model, fire_type, key=key)

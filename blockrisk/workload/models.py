@@ -10,8 +10,9 @@ from blockrisk.ml import pipelines as ML
 from blockrisk.ml import split as M
 from blockrisk.ml import tune
 from blockrisk.operators import panel as P
-from blockrisk.plans import evaluation
+from blockrisk.plans import evaluation, features, risk
 from blockrisk.session import materialize, scratch_path
+from blockrisk.workload import geography as GEO
 from blockrisk.workload import panels
 from blockrisk.workload import tables as T
 from blockrisk.workload.registry import query
@@ -212,3 +213,19 @@ def _(spark, d):
     pipeline = ML.forest_pipeline(DECIDED, select=False, seed=SEED, numTrees=5, featureSubsetStrategy="all")
     table = tune.grid_search(pipeline, ML.grid_of(pipeline, {"maxDepth": [0, 3]}), rows, "key")[1]
     return table.select("parameters", (F.col("mean_auc") > 0.999).cast("int").alias("best"))
+
+
+@query("risk_pipeline", "split s, n i, flagged_ok i", f"""
+    SELECT CASE WHEN y.y = {GEO.LAST} THEN 'future' WHEN y.y = {GEO.LAST} - 1 THEN 'holdout' ELSE 'train' END AS split, count(*) AS n, 1 AS flagged_ok
+    FROM ({T.table_sql('census_blocks')}) b, range({GEO.FIRST}, {GEO.LAST} + 1) y(y) GROUP BY 1""")
+def _(spark, d):
+    """The whole way: feature table, null policy, split, forest, scores, flags; as facts that hold for any model."""
+    table = features.yearly_feature_table(GEO.raw_tables(spark, d), GEO.FIRST, GEO.LAST, GEO.SINCE, last_complete_year=GEO.LAST)
+    rows, flagged = risk.risk_lifecycle(
+        table, "external", GEO.LAST, lambda names: ML.forest_pipeline(names, seed=SEED, numTrees=20, maxDepth=5)
+    )
+    blocks = rows.filter(F.col("split") == "future").agg(F.count(F.lit(1)).alias("blocks"))
+    facts = flagged.agg(F.sum("highrisk").alias("flags"), F.count_distinct("GISJOIN").alias("keys")).withColumn("blocks", blocks.scalar())
+    limit = risk.HIGH_RISK_BLOCKS["external"]
+    held = facts.select(((F.col("keys") == F.col("blocks")) & ((F.col("flags") <= limit) | (F.col("blocks") <= limit))).cast("int").alias("flagged_ok"))
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).withColumn("flagged_ok", held.scalar())

@@ -588,7 +588,7 @@ def _(spark, d):
     years = census.census_per_block_year(
         T.logical(spark, d, "census_population"), T.logical(spark, d, "census_tenure")
     ).withColumn("GISYEARJOIN", C.block_year_key("GISJOIN", P.YEAR))
-    shapes = P.year_spine(T.blocks(spark, d).select("GISJOIN", "rings"), 2007, 2018)
+    shapes = P.year_spine(T.blocks(spark, d).select("GISJOIN", "rings"), 2010, 2010)  # the year shown
     shapes = shapes.select(C.block_year_key("GISJOIN", P.YEAR).alias("GISYEARJOI"), "rings")
     joined = risk.feature_map(years, shapes, "H7X001", 2010)
     return joined.withColumn("parts", F.size("rings"))
