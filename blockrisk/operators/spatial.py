@@ -109,6 +109,7 @@ class PolygonCover:
         y: str = "lat",
         strategy: str = "auto",
         broadcast_bytes: int = BROADCAST_BYTES,
+        points_per_salt: int = POINTS_PER_SALT,
     ) -> DataFrame:
         """Points strictly inside a polygon, with the polygon key; inner join."""
         if not self.levels:
@@ -127,7 +128,7 @@ class PolygonCover:
         if strategy == "broadcast":
             joined = keyed.join(F.broadcast(self.rows), on)
         else:
-            joined = _salted_join(keyed, self.rows, on, F.xxhash64("_px", "_py"))
+            joined = _salted_join(keyed, self.rows, on, F.xxhash64(*[c for c in keyed.columns if c not in ("_level", "_cx", "_cy")]), points_per_salt)
         # In this order: the box test compiles and spares most rows the edge loops.
         hits = joined.filter(
             "_px > _xmin and _px < _xmax and _py > _ymin and _py < _ymax "
@@ -165,15 +166,15 @@ class PolygonCover:
         return spread.select(*[F.col(f"`{c}`") for c in points.columns], *[F.col(f"_hit.`{c}`").alias(c) for c in kept])
 
 
-def _salted_join(points: DataFrame, cover: DataFrame, on: list[str], spread: Column) -> DataFrame:
+def _salted_join(points: DataFrame, cover: DataFrame, on: list[str], spread: Column, points_per_salt: int) -> DataFrame:
     """Shuffled join in which a crowded cell is dealt over several tasks.
 
-    A cell gets one salt for each ``POINTS_PER_SALT`` of its points; its cover rows
+    A cell gets one salt for each ``points_per_salt`` of its points; its cover rows
     are copied once per salt. All other cells keep salt 0.
     """
     counts = points.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    crowded = counts.filter(F.col("_n") > POINTS_PER_SALT).select(
-        *on, F.ceil(F.col("_n") / POINTS_PER_SALT).cast("int").alias("_salts")
+    crowded = counts.filter(F.col("_n") > points_per_salt).select(
+        *on, F.ceil(F.col("_n") / points_per_salt).cast("int").alias("_salts")
     )
     salts = F.coalesce("_salts", F.lit(1))
     salted_points = points.join(crowded, on, "left").withColumn("_salt", F.pmod(spread, salts).cast("int"))

@@ -254,6 +254,21 @@ def _(spark, d):
     return raw.join(back, "block_num").selectExpr("block_num", "kind", "size(rings) AS parts", f"{bounds['xmin']} AS xmin", f"{bounds['xmax']} AS xmax", f"{bounds['ymax']} AS ymax")
 
 
+@query("pip_hot_cell", "GISJOIN s, n i", f"""
+    {ctes('violations')}, hot AS (
+        SELECT v.px, v.py, v."Year" + r.i AS "Year" FROM violations_p v CROSS JOIN range(1000) r(i)
+        WHERE r.i = 0 OR v.px = (SELECT min(px) FROM violations_p)),
+      found AS ({T.contains_sql('hot', 'hot."Year"')})
+    SELECT "GISJOIN", count(*) AS n FROM found GROUP BY 1""")
+def _(spark, d):
+    """One place with most of the points, joined by shuffle with a salt per hundred of them."""
+    base = points(spark, d, "violations")
+    copies = F.when(F.col("lon") == base.agg(F.min("lon")).scalar(), 999).otherwise(0)
+    crowded = base.withColumn("copy", F.explode(F.sequence(F.lit(0), copies)))
+    located = cover(spark, d).locate(crowded, strategy="shuffle", points_per_salt=100)
+    return A.count_per(located, ["GISJOIN"], "n")
+
+
 @query("locate_points_repeated_key", "k i, lon f, GISJOIN s", f"""
     {_SITES} SELECT 1 AS k, s.px AS lon, h."GISJOIN" FROM sites_p s LEFT JOIN hits h ON h.event_id = s.event_id""")
 def _(spark, d):
