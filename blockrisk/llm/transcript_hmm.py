@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockrisk.llm.frames import shuffle_partitions, written
@@ -136,29 +136,29 @@ def _lines(turns: DataFrame) -> DataFrame:
     return split.select("conv_id", "turn", "line", content.alias("content"), seen.alias("seen"))
 
 
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Decodes runs that begin and end inside this task; the first and last run stay open (side 0 and 1)."""
     from pyspark import TaskContext
 
-    part = TaskContext.get().partitionId()
-    table = [b.to_pandas() for b in batches if b.num_rows]
-    if not table:
+    part, held = TaskContext.get().partitionId(), [b for b in batches if b.num_rows]
+    if not held:
         return
-    rows = pd.concat(table, ignore_index=True)
-    table.clear()
+    rows = pa.Table.from_batches(held).combine_chunks()
     start, moves, out = model()
-    conv = rows["conv_id"].fillna(-(1 << 62)).to_numpy()
-    bounds = np.append(np.where(np.append(True, conv[1:] != conv[:-1]))[0], len(rows))
-    side, roles = np.full(len(rows), -1), np.full(len(rows), None, object)
-    opens, begins, ends = (np.zeros(len(rows), bool) for _ in range(3))
-    seen = rows["seen"].to_numpy()
+    conv = rows.column("conv_id").fill_null(-(1 << 63)).to_numpy()
+    seen, n = rows.column("seen").to_numpy(), rows.num_rows
+    bounds = np.append(np.where(np.append(True, conv[1:] != conv[:-1]))[0], n)
+    side, roles = np.full(n, -1, np.int32), np.full(n, None, object)
+    opens, begins, ends = (np.zeros(n, bool) for _ in range(3))
     for number, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
         if number in (0, len(bounds) - 2):
             side[a:b] = int(number > 0)
         else:
             roles[a:b], opens[a:b] = _decided(viterbi(seen[a:b], start, moves, out), None)
             begins[a] = ends[b - 1] = True
-    yield rows.assign(part=part, side=side.astype(np.int32), row=np.arange(len(rows)), role=roles, opens=opens, first=begins, ends=ends)
+    added = [np.full(n, part, np.int32), side, np.arange(n), pa.array(roles, pa.string()), opens, begins, ends]
+    columns = [*rows.columns, *(pa.array(x) for x in added)]
+    yield from pa.table(columns, names=[c.split()[0] for c in _LINES.split(", ")]).to_batches()
 
 
 def _summarise(run: pd.DataFrame) -> pd.DataFrame:
@@ -200,7 +200,7 @@ def _between(run: pd.DataFrame) -> pd.DataFrame:
 
 def format_transcripts(turns: DataFrame) -> DataFrame:
     """conv_id, turn, line, role, opens, rendered for every line of (conv_id, turn, text)."""
-    lines = written(_lines(turns).mapInPandas(lambda it: _within(pa.RecordBatch.from_pandas(p) for p in it), _LINES), "transcript-lines")
+    lines = written(_lines(turns).mapInArrow(_within, _LINES), "transcript-lines")
     loose = lines.where("side >= 0")
     runs = loose.groupBy("part", "side").applyInPandas(_summarise, "conv_id long, part int, side int, scores array<double>")
     borders = runs.groupBy("conv_id").applyInPandas(_borders, "part int, side int, before int, last int, final boolean")
