@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from blockrisk.llm.frames import gather_runs, split_points, tokenizer_path
 
 #: Most chunks kept by a worker; the cache starts anew beyond it. Never changes a result.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 400_000
 _BOUNDARY = r"([A-Za-z])([.,;:!?%*$#&])"
 #: Words of these letters alone are one piece that no normalisation changes.
 _PLAIN_WORD = "^[a-zß-öø-ÿ]+$"

@@ -26,7 +26,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import heapify, heappop, heappush
-from itertools import combinations
+from itertools import combinations, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ LENGTH, SPAN, DECAY = 4, 6, 0.6
 LANDMARKS = 96
 PER_CLASS, TRAINING_BYTES = 2000, 16_384
 SENTENCE_WORDS = 64
+#: Distinct clean words of the sample that the machine may learn from, at most.
+MOST_NEGATIVES = 80_000
 CACHE_WORDS = 1_000_000
 BEGIN, END = "\x02", "\x03"
 RESULT = "doc_id long, score double"
@@ -116,9 +118,14 @@ class KernelTable:
             inside &= other > 0
         return key[inside], word[:n][inside]
 
-    def features(self, words: list[str]) -> np.ndarray:
-        """Normalised kernel of every word with every landmark."""
+    def features(self, words: list[str], block: int = 8192) -> np.ndarray:
+        """Normalised kernel of every word with every landmark, a block of words at a time."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
+        for first in range(0, len(words), block):
+            self._fill(words[first : first + block], out[first : first + block])
+        return out
+
+    def _fill(self, words: list[str], out: np.ndarray) -> None:
         codes, word = self._codes(words)
         for places in _gaps(LENGTH, SPAN):
             key, of = self._keys(codes, word, places)
@@ -129,7 +136,7 @@ class KernelTable:
                 starts = np.where(np.append(True, of[1:] != of[:-1]))[0]
                 out[of[starts]] += np.add.reduceat(self.weights[row], starts) * np.float32(DECAY ** (places[-1] + 1))
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        return out / (_norms(sizes)[:, None] * self.norms)
+        out /= (_norms(sizes)[:, None] * self.norms).astype(np.float32)
 
 
 @dataclass
@@ -180,12 +187,14 @@ def _windows(word: str, width: int = 32) -> list[str]:
 def _sentences(texts: list[str]) -> tuple[list[list[str]], list[int]]:
     """(sentences as word lists, number of the text of each)."""
     cut = [(s, number) for number, text in enumerate(texts) for s in re.split(r"[.!?\n]+", text) if s.strip()]
-    out, owner = [], []
-    for words, (_, number) in zip(word_lists(pa.array([s for s, _ in cut], pa.string())).to_pylist(), cut):
-        words = [w for w in words if w]
-        for first in range(0, len(words), SENTENCE_WORDS):
-            out.append(words[first : first + SENTENCE_WORDS])
-            owner.append(number)
+    out, owner, one = [], [], {}  # each distinct word is held once
+    for start in range(0, len(cut), 2000):
+        part = cut[start : start + 2000]
+        for words, (_, number) in zip(word_lists(pa.array([s for s, _ in part], pa.string())).to_pylist(), part):
+            words = [one.setdefault(w, w) for w in words if w]
+            for first in range(0, len(words), SENTENCE_WORDS):
+                out.append(words[first : first + SENTENCE_WORDS])
+                owner.append(number)
     return out, owner
 
 
@@ -197,20 +206,25 @@ def _strings(word: str) -> Iterator[str]:
         yield whole[:size]
 
 
-def _contrast(by_text: list[set[str]], labels: np.ndarray, most: int) -> list[str]:
+def _contrast(by_text: list[tuple[str, ...]], labels: np.ndarray, most: int) -> list[str]:
     """Strings that mark toxic texts, chosen greedily so that each such text is explained a few times."""
+    toxic: Counter = Counter()
+    for number in np.where(labels == 1)[0].tolist():
+        toxic.update({s for w in by_text[number] for s in _strings(w)})
+    least = max(3, int(labels.sum()) // 100)
+    pool = {s for s, n in toxic.items() if n >= least}
+    del toxic
     holders: dict[str, set[int]] = defaultdict(set)
     clean: Counter = Counter()
     for number, words in enumerate(by_text):
-        for s in {s for w in words for s in _strings(w)}:
+        for s in {s for w in words for s in _strings(w) if s in pool}:
             if labels[number]:
                 holders[s].add(number)
             else:
                 clean[s] += 1
-    least = max(3, int(labels.sum()) // 100)
     left = np.where(labels == 1, 3, 0)
     gain = lambda s: int((left[list(holders[s])] > 0).sum()) - 4 * clean[s]
-    heap = [(-(len(h) - 4 * clean[s]), -len(s), s) for s, h in holders.items() if len(h) >= least and len(h) >= 4 * clean[s]]
+    heap = [(-(len(h) - 4 * clean[s]), -len(s), s) for s, h in holders.items() if len(h) >= 4 * clean[s]]
     heapify(heap)
     chosen: list[str] = []
     while heap and len(chosen) < most:
@@ -253,9 +267,9 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     if len(set(labels)) < 2:
         return ToxicityModel()
     sentences, owner = _sentences(texts)
-    by_text: list[set[str]] = [set() for _ in texts]
-    for words, number in zip(sentences, owner):
-        by_text[number].update(words)
+    by_text: list[tuple[str, ...]] = [()] * len(texts)
+    for number, group in groupby(zip(owner, sentences), key=lambda x: x[0]):
+        by_text[number] = tuple(sorted({w for _, words in group for w in words}))
     marks = _contrast(by_text, y, landmarks * 2 // 3)
     if not marks:
         return ToxicityModel()
@@ -270,13 +284,15 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     whiten = (vectors / np.sqrt(np.maximum(values, 1e-3))).astype(np.float32)
     windows = lambda words: [_windows(w)[0] for w in words]
     negatives = list(clean_words)
+    if len(negatives) > MOST_NEGATIVES:
+        negatives = [negatives[k] for k in rng.permutation(len(negatives))[:MOST_NEGATIVES]]
     negative = model.table.features(windows(negatives))
     marked = set(marks)
     telling = {w for number, words in enumerate(by_text) if y[number] for w in words if not marked.isdisjoint(_strings(w))}
     positives = [[w for w in words if w in telling] for words, number in zip(sentences, owner) if y[number]]
     positives = [p for p in positives if p]
     place = {w: k for k, w in enumerate(sorted(telling))}
-    positive = model.table.features(windows(place))
+    positive = model.table.features(windows(list(place)))
     guess, hard = positive[:, : len(marks)].max(1), np.argsort(-negative[:, : len(marks)].max(1))[:4000]
     for _ in range(3):
         counts = Counter(max(p, key=lambda w: guess[place[w]]) for p in positives)

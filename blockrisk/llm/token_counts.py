@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockrisk.llm.frames import ascii_lower, id_and_text, slices, strings_of, tokenizer_path
+from blockrisk.llm.frames import ascii_lower, id_and_text, slices, strings_of, tokenizer_path, written
 from blockrisk.llm.library_tokens import LibraryEncoder, encoder
 from blockrisk.session import scratch_path
 
@@ -67,11 +67,14 @@ def read_cache(spark: SparkSession, cache_path: str, tokenizer: bytes) -> DataFr
     return cache.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def append_misses(docs: DataFrame, name: str, cache_path: str) -> None:
-    """Encodes the distinct texts of (doc_id, text, content) that the cache lacks, and appends their counts."""
+def append_misses(docs: DataFrame, digests: DataFrame, name: str, cache_path: str) -> None:
+    """Encodes the distinct texts of (doc_id, text, content) that the cache lacks, and appends their counts.
+
+    ``digests`` holds the (doc_id, content) of the same rows, without the texts.
+    """
     spark, version = docs.sparkSession, tokenizer_digest(name)
     known = read_cache(spark, cache_path, version)
-    firsts = docs.groupBy("content").agg(F.coalesce(F.min("doc_id"), F.lit(-(1 << 63))).alias("first_id"))
+    firsts = digests.groupBy("content").agg(F.coalesce(F.min("doc_id"), F.lit(-(1 << 63))).alias("first_id"))
     misses = firsts.join(known, "content", "left_anti")
     texts = docs.withColumn("first_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(misses, ["first_id", "content"], "left_semi")
     counts = texts.select("content", "text").mapInArrow(lambda batches: _count(batches, name), "content binary, n_tokens long")
@@ -85,7 +88,8 @@ def count_tokens(docs: DataFrame, name: str, limit: int, cache_path: str | None
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     rows = id_and_text(docs)
     rows = rows.withColumn("content", F.unhex(F.sha2(normal_form(F.col("text"), encoder(name)), 256)))
-    append_misses(rows, name, cache_path)
-    cache = read_cache(spark, cache_path, tokenizer_digest(name))
-    sized = rows.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes"))
+    sized = written(rows.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
+    append_misses(rows, sized, name, cache_path)
+    # stored, so that both sides of the join are plain shuffles, of which hot digests can be split
+    cache = written(read_cache(spark, cache_path, tokenizer_digest(name)), "counts")
     return sized.join(cache, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
