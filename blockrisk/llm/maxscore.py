@@ -80,7 +80,7 @@ class Shard:
 
 
 def _matrix(lists: pa.Array, terms: int) -> np.ndarray:
-    """Weights as rows of ``terms`` numbers; exact doubles where sums stay below 2**53, else 64-bit integers."""
+    """Weights as rows of ``terms`` 64-bit integers, zero where a vector has ended."""
     out = np.zeros((len(lists), terms), np.int64)
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
     out[np.arange(terms)[None, :] < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)

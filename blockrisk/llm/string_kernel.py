@@ -326,7 +326,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """doc_id, score for every row of ``docs``; ``with_toxicity`` keeps the other columns."""
+    """doc_id, score for every row of ``docs``; ``keep_mild`` filters the rows themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
