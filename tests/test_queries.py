@@ -8,7 +8,10 @@ import pytest
 import __spark_entry__ as entry_points
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
