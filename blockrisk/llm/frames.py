@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,14 +24,23 @@ def tokenizer_path(name: str) -> str:
     return name if os.path.isabs(name) else public_tokenizers.path(name)
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) alone, whatever else the table holds; a null text is empty."""
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", further: dict[str, str] | None = None) -> DataFrame:
+    """(doc_id, text) alone, whatever else the table holds, and ``further`` columns under new names; a null text is empty."""
     return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+        *(F.col(old).alias(new) for old, new in (further or {}).items()),
     )
 
 
+def with_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with _file (hash of its path) and _row: where each row lies. Tables not of Parquet files are written first."""
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return with_place(written(docs, "documents"))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -18,7 +18,8 @@ all of them, so no link between components is lost and no group is expanded into
 Sets hold 64-bit hashes of shingles; classes are told apart by 128 bits. Cases: a null text is
 empty; a document without words has n_shingles 0 and is its own component; fewer words than a
 shingle make one shingle of them all; repeated rows are one class; a null doc_id takes part but is
-never a component's name, unless the component has no other; further columns are ignored.
+never a component's name, unless the component has no other; further columns are ignored. Rows are
+told apart by their place (file and row), not by doc_id.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockrisk.llm.components import connected_components
-from blockrisk.llm.frames import id_and_text, shuffle_partitions, slices, split_points, strings_of, written
+from blockrisk.llm.frames import id_and_text, shuffle_partitions, slices, split_points, strings_of, with_place, written
 
 WORDS, PERCENT = 5, 80
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -87,7 +88,7 @@ def slack(n: int) -> int:
 
 
 def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, print (128 bits of the set), key (64 of them), prefix under order A."""
+    """doc_id, file, row, n, print (128 bits of the set), key (64 of them), prefix under order A."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,11 +99,11 @@ def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 at = split_points(np.array([len(p) for p in prefixes], np.int64)).astype(np.int32)
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array([int.from_bytes(p[:8], "little", signed=True) if p else None for p in prints], pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))],
-                    names=["doc_id", "n", "print", "key", "prefix"],
+                    [*(part.column(c) for c in ("doc_id", "file", "row")), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array([int.from_bytes(p[:8], "little", signed=True) if p else None for p in prints], pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))],
+                    names=["doc_id", "file", "row", "n", "print", "key", "prefix"],
                 )
 
-    return docs.mapInArrow(describe, "doc_id long, n long, print binary, key long, prefix array<long>")
+    return docs.mapInArrow(describe, "doc_id long, file long, row long, n long, print binary, key long, prefix array<long>")
 
 
 def _shared_prefix_counts(keys: DataFrame) -> DataFrame:
@@ -184,8 +185,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, percent: int) -> Da
                     columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(arrays).view(np.int64))))
                 yield pa.RecordBatch.from_arrays(columns, names=["print", "tokens", "prefix_b"])
 
-    texts = docs.join(wanted.select(F.col("rep_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    built = texts.mapInArrow(build, "print binary, tokens array<long>, prefix_b array<long>")
+    # a chance collision of places adds a text whose print nobody wants
+    texts = docs.select("text", F.xxhash64("file", "row").alias("place")).join(wanted.select(F.col("rep_place").alias("place")), "place", "left_semi")
+    built = texts.select("text").mapInArrow(build, "print binary, tokens array<long>, prefix_b array<long>")
     return built.join(wanted.select("print", "class_id", "n"), "print").drop("print").dropDuplicates(["class_id"])
 
 
@@ -255,19 +257,38 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return known.join(tops, "label", "left").select("class_id", F.coalesce("top", "label").alias("label"))
 
 
-def near_duplicate_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id that links reach): one row per row of ``docs``."""
-    rows = id_and_text(docs)
+def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with words (doc_id, file, row, n, label, component_id) and those without (doc_id, file, row, n)."""
+    placed = with_place(docs)
+    rows = id_and_text(placed, further={"_file": "file", "_row": "row"})
     keys = written(_keys(rows, words, percent), "shingle-keys")
-    classes = keys.where("n > 0").groupBy("print").agg(F.first("key").alias("key"), F.first("n").alias("n"), F.min("doc_id").alias("rep_doc"))
+    least = (F.min("doc_id").alias("rep_doc"), F.min(F.xxhash64("file", "row")).alias("rep_place"))
+    classes = keys.where("n > 0").groupBy("print").agg(F.first("key").alias("key"), F.first("n").alias("n"), *least)
     classes = written(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     enough = F.greatest(F.lit(1), F.floor(_needed(F.col("n"), percent) / 10))
-    wanted = classes.join(_shared_prefix_counts(keys), "key").where((F.col("hits") >= enough)).select("print", "class_id", "n", "rep_doc")
+    wanted = classes.join(_shared_prefix_counts(keys), "key").where((F.col("hits") >= enough)).select("print", "class_id", "n", "rep_place")
     wanted = written(wanted, "with-partners")
     sets = written(_sets_of(rows, wanted, words, percent), "sets")
     labels = _components(sets, percent)
     named = classes.join(labels, "class_id", "left").select("print", "rep_doc", F.coalesce("label", "class_id").alias("label"))
     names = named.groupBy("label").agg(F.min("rep_doc").alias("component_id"))
-    by_print = named.join(names, "label").select("print", "component_id")
-    grouped = keys.where("n > 0").select("doc_id", "n", "print").join(by_print, "print").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return grouped.unionByName(keys.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    by_print = named.join(names, "label").select("print", "label", "component_id")
+    parts = keys.select("doc_id", "file", "row", "n", "print")
+    return parts.where("n > 0").join(by_print, "print").drop("print"), parts.where("n = 0").drop("print")
+
+
+def near_duplicate_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id that links reach): one row per row of ``docs``."""
+    grouped, empty = _grouped(docs, words, percent)
+    size = F.col("n").alias("n_shingles")
+    return grouped.select("doc_id", size, "component_id").unionByName(empty.select("doc_id", size, F.col("doc_id").alias("component_id")))
+
+
+def keep_first_of_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, one per component: the one of the least doc_id, null last, then by place."""
+    placed = with_place(docs)
+    names = [f"`{n}`" for n in docs.columns]
+    grouped, empty = _grouped(placed.select(*names), words, percent)
+    first = grouped.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row")).alias("first"))
+    kept = first.select("first.file", "first.row").unionByName(empty.select("file", "row"))
+    return placed.join(kept.select(F.col("file").alias("_file"), F.col("row").alias("_row")), ["_file", "_row"], "left_semi").select(*names)

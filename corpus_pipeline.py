@@ -6,8 +6,8 @@ token sequences. All stages but the last return the columns of ``documents``. Ea
 rows and whole texts that it gets; documents without a doc_id, too, are judged by their text.
 
 Decisions meet their rows again by doc_id, or by place in the input where the operator gives it;
-rows that share a doc_id are kept or dropped together in the first two stages and in the fourth,
-if any of them is kept. An empty table goes through empty.
+rows that share a doc_id are kept or dropped together in the first two stages, if any of them is
+kept. An empty table goes through empty.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from blockrisk.llm.best_fit_packing import pack_documents
 from blockrisk.llm.byte_cnn import fit_quality, keep_good
-from blockrisk.llm.jaccard_join import near_duplicate_groups
+from blockrisk.llm.jaccard_join import keep_first_of_groups
 from blockrisk.llm.queries import END_ID, QUALITY_LEAST, TOXICITY_MOST, WORD_BPE
 from blockrisk.llm.stream_dedup import keep_last_copies
 from blockrisk.llm.string_kernel import fit_toxicity, keep_mild
@@ -45,9 +44,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the row stays whose doc_id names the group; rows without a doc_id stay if they are alone."""
-    groups = near_duplicate_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(groups, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    """Of each group one row stays: the one whose doc_id names the group, or any one where all lack a doc_id."""
+    return keep_first_of_groups(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
