@@ -107,3 +107,18 @@ def scored_rows(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], keep:
                 yield part.filter(pa.array(keep(score(strings_of(part.column(text_col))))))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def placed(table: DataFrame, columns: dict[str, Column], file: str = "file", row: str = "row") -> DataFrame:
+    """``columns`` of ``table``, and where each row lies: hash of its file's path and number in it.
+
+    Only these columns, under the names given, so what else the table holds cannot clash. Tables that
+    do not come from Parquet files are written first.
+    """
+    own = [value.alias(name) for name, value in columns.items()]
+    try:
+        lies = table.metadataColumn("_metadata")
+        return table.select(*own, F.xxhash64(lies["file_path"]).alias(file), lies["row_index"].alias(row))
+    except AnalysisException:
+        stored = written(table.select(*own), "placed")
+        return placed(stored, {name: F.col(f"`{name}`") for name in columns}, file, row)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from blockrisk.llm.best_fit_packing import pack_documents
 from blockrisk.llm.bit_packing import token_file_index
 from blockrisk.llm.byte_cnn import fit_quality, score_quality
+from blockrisk.llm.hard_negatives import mine
 from blockrisk.llm.jaccard_join import near_duplicate_groups
 from blockrisk.llm.labelled_sample import held_out
 from blockrisk.llm.maxscore import top_k
@@ -18,6 +19,7 @@ from blockrisk.llm.stream_dedup import deduplicate
 from blockrisk.llm.string_kernel import fit_toxicity, score_toxicity
 from blockrisk.llm.token_counts import count_tokens
 from blockrisk.llm.transcript_hmm import format_transcripts
+from blockrisk.llm.whitening import whitened_rows
 
 WORD_BPE, WORD_BPE_IDS = "word_bpe_49k.json", 49_408
 BYTE_BPE = "byte_bpe_50k.json"
@@ -77,8 +79,17 @@ def op10_transcript_hmm(spark: SparkSession, folder: str) -> DataFrame:
     return format_transcripts(turns.select("conv_id", "turn", raw.alias("text")))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_rows(_read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op7_byte_cnn, op8_string_kernel, op9_maxscore, op10_transcript_hmm)
+    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op7_byte_cnn, op8_string_kernel, op9_maxscore, op10_transcript_hmm, op11_hard_negatives, op12_whitening)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -115,4 +126,22 @@ ORACLES: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+                   CAST(list_inner_product(CAST(a.w AS DOUBLE[]), CAST(c.w AS DOUBLE[])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id, score FROM (
+                SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same) q WHERE place <= 5),
+        windows AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+            FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+            WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5""",
 }
