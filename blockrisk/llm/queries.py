@@ -13,6 +13,8 @@ from blockrisk.llm.byte_cnn import fit_quality, score_quality
 from blockrisk.llm.hard_negatives import mine
 from blockrisk.llm.jaccard_join import near_duplicate_groups
 from blockrisk.llm.labelled_sample import held_out
+from blockrisk.llm.language_crf import fit_language, tag_languages
+from blockrisk.llm.language_crf import held_out as language_held_out
 from blockrisk.llm.maxscore import top_k
 from blockrisk.llm.numpy_bpe import encoding_digests
 from blockrisk.llm.stream_dedup import deduplicate
@@ -88,8 +90,14 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitened_rows(_read(spark, folder, "embeddings"))
 
 
+def op13_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    tagged = tag_languages(docs, fit_language(docs))
+    return tagged.select("doc_id", language_held_out().alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op7_byte_cnn, op8_string_kernel, op9_maxscore, op10_transcript_hmm, op11_hard_negatives, op12_whitening)
+    f.__name__: f for f in (op1_token_files, op2_stream_dedup, op3_best_fit_packing, op4_token_counts, op5_jaccard_join, op6_numpy_bpe, op7_byte_cnn, op8_string_kernel, op9_maxscore, op10_transcript_hmm, op11_hard_negatives, op12_whitening, op13_language_crf)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
