@@ -208,6 +208,71 @@ def _(spark, d):
     return S.polygons_intersect(T.blocks(spark, d), T.tracts(spark, d), "GISJOIN", "TRACT")
 
 
+#: Orders to a skyline: a shape whose upper side has a vertex per line item, several ten thousand in all.
+_SKYLINE = 8192
+
+
+@query("pip_many_edges", "shape i, n i, total i, edges i", f"""
+    WITH tops AS (
+        SELECT CAST(floor(l_orderkey / {_SKYLINE}) AS BIGINT) AS shape, CAST((l_orderkey % {_SKYLINE}) * 8 + l_linenumber AS DOUBLE) AS x, 1 + l_quantity AS h FROM lineitem),
+      sides AS (SELECT shape, x AS x1, 100 * shape + h AS y1, lead(x) OVER w AS x2, 100 * shape + lead(h) OVER w AS y2 FROM tops WINDOW w AS (PARTITION BY shape ORDER BY x)),
+      p AS (SELECT o_orderkey, CAST(floor(o_orderkey / {_SKYLINE}) AS BIGINT) AS at, (o_orderkey % {_SKYLINE}) * 8 + o_custkey % 7 + 0.5 AS px,
+                   100 * CAST(floor(o_orderkey / {_SKYLINE}) AS BIGINT) + o_custkey % 60 + 0.5 AS py FROM orders),
+      found AS (SELECT s.shape, p.o_orderkey FROM p ASOF JOIN sides s ON p.at = s.shape AND p.px >= s.x1
+                WHERE p.px < s.x2 AND (p.py - s.y1) * (s.x2 - s.x1) < (s.y2 - s.y1) * (p.px - s.x1))
+    SELECT shape, count(*) AS n, sum(o_orderkey) AS total, 1 AS edges FROM found GROUP BY 1""")
+def _(spark, d):
+    """Points in shapes of tens of thousands of vertices; ``edges`` tells whether all cover rows keep to the bound."""
+    shape = F.floor(F.col("l_orderkey") / _SKYLINE)
+    vertex = F.struct(((F.col("l_orderkey") % _SKYLINE) * 8 + F.col("l_linenumber")).cast("double").alias("x"), (100 * shape + 1 + F.col("l_quantity")).alias("y"))
+    tops = T.read(spark, d, "lineitem").groupBy(shape.alias("GISJOIN")).agg(F.array_sort(F.collect_list(vertex)).alias("top"))
+    foot = "named_struct('x', {}, 'y', cast(100 * GISJOIN AS double))"
+    shapes = tops.selectExpr("GISJOIN", f"array(concat(top, array({foot.format('element_at(top, -1).x')}, {foot.format('top[0].x')}, top[0]))) AS rings")
+    covered = S.PolygonCover.build(shapes)
+    base = F.floor(F.col("o_orderkey") / _SKYLINE)
+    spots = T.read(spark, d, "orders").select(
+        "o_orderkey", ((F.col("o_orderkey") % _SKYLINE) * 8 + F.col("o_custkey") % 7 + 0.5).alias("lon"), (100 * base + F.col("o_custkey") % 60 + 0.5).alias("lat")
+    )
+    bound = covered.rows.agg((F.max(F.size("_edges")) <= S.EDGES_PER_CELL).cast("int")).scalar()
+    located = covered.locate(spots).groupBy(F.col("GISJOIN").alias("shape"))
+    return located.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("total")).withColumn("edges", bound)
+
+
+# A region, one per nation's share of the blocks: a diamond around the middle of all its blocks, about as
+# large as the whole table, hence far larger than a block.
+_REGIONS = f"""
+    SELECT 'R' || CAST(c_custkey % 5 AS VARCHAR) AS region, min(x) AS xlo, max(x) + {T.CELL} AS xhi, min(y) AS ylo, max(y) + {T.CELL} AS yhi
+    FROM (SELECT c_custkey, {T._x('c_custkey', '0')} AS x, {T._y('c_custkey', '0')} AS y FROM customer) GROUP BY 1"""
+_DIAMOND = [("xlo", "(ylo + yhi) / 2"), ("(xlo + xhi) / 2", "ylo"), ("xhi", "(ylo + yhi) / 2"), ("(xlo + xhi) / 2", "yhi")]
+
+
+@query("polygons_intersect_mixed", "GISJOIN s, region s", f"""
+    WITH edges AS ({T.edges_sql()}), regions AS (
+        SELECT region, CAST(floor(xlo) AS DOUBLE) AS xlo, CAST(xhi AS DOUBLE) AS xhi, CAST(ylo AS DOUBLE) AS ylo, CAST(yhi AS DOUBLE) AS yhi FROM ({_REGIONS})),
+      corners AS (
+        {' UNION ALL '.join(f"SELECT region, {n} AS place, {x} / 1e6 AS x, {y} / 1e6 AS y FROM regions" for n, (x, y) in enumerate(_DIAMOND))}),
+      outlines AS (SELECT a.region, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM corners a JOIN corners b ON b.region = a.region AND b.place = (a.place + 1) % 4),
+      holds AS (  -- a diamond is convex: a vertex lies in it if it lies to one side of all its edges
+        SELECT e.block, f.region FROM edges e JOIN outlines f ON true GROUP BY e.block, f.region, e.x1, e.y1
+        HAVING min({_side('f.x1', 'f.y1', 'f.x2', 'f.y2', 'e.x1', 'e.y1')}) >= 0),
+      crosses AS (
+        SELECT e.block, f.region FROM edges e JOIN outlines f
+          ON least(e.x1, e.x2) <= greatest(f.x1, f.x2) AND least(f.x1, f.x2) <= greatest(e.x1, e.x2)
+         AND least(e.y1, e.y2) <= greatest(f.y1, f.y2) AND least(f.y1, f.y2) <= greatest(e.y1, e.y2)
+        WHERE {_side('f.x1', 'f.y1', 'f.x2', 'f.y2', 'e.x1', 'e.y1')} * {_side('f.x1', 'f.y1', 'f.x2', 'f.y2', 'e.x2', 'e.y2')} <= 0
+          AND {_side('e.x1', 'e.y1', 'e.x2', 'e.y2', 'f.x1', 'f.y1')} * {_side('e.x1', 'e.y1', 'e.x2', 'e.y2', 'f.x2', 'f.y2')} <= 0)
+    SELECT block AS "GISJOIN", region FROM holds UNION SELECT block, region FROM crosses""")
+def _(spark, d):
+    """Blocks against a handful of shapes as large as the city."""
+    place = T.read(spark, d, "customer").selectExpr("concat('R', c_custkey % 5) AS region", f"{T._x('c_custkey', '0')} AS x", f"{T._y('c_custkey', '0')} AS y")
+    bounds = place.groupBy("region").agg(
+        F.min("x").cast("double").alias("xlo"), (F.max("x") + T.CELL).cast("double").alias("xhi"),
+        F.min("y").cast("double").alias("ylo"), (F.max("y") + T.CELL).cast("double").alias("yhi"),
+    )
+    ring = ", ".join(f"named_struct('x', {x} / 1e6D, 'y', {y} / 1e6D)" for x, y in [*_DIAMOND, _DIAMOND[0]])
+    return S.polygons_intersect(T.blocks(spark, d), bounds.selectExpr("region", f"array(array({ring})) AS rings"), "GISJOIN", "region", cells_per_key=64)
+
+
 @query("tract_to_block", "GISJOIN s, JOIE001 m, JTIE001 m, J4TM001 f", f"""
     WITH {_MEET}, local AS (SELECT * FROM {src('tracts')} WHERE "COUNTY" = 'San Francisco County'),
       pairs AS (SELECT b."GISJOIN", m.tract AS "TRACT" FROM {src('census_blocks')} b

@@ -146,3 +146,73 @@ def test_very_small_and_very_large_coordinates(spark, scale):
     pts = [(x * scale, y * scale) for x, y in CASES]
     located = S.points_in_polygons(points(spark, pts), polygons(spark, shapes))
     assert rows(located, "id", "GISJOIN") == sorted((i, k) for i, k in enumerate(CASES.values()) if k)
+
+
+def star(rng, cx, cy, size, corners):
+    """A ring around a centre whose corners lie on quarter units, so that all arithmetic is exact."""
+    directions = [(1, 0), (2, 1), (1, 1), (1, 2), (0, 1), (-1, 2), (-1, 1), (-2, 1), (-1, 0), (-2, -1), (-1, -1), (-1, -2), (0, -1), (1, -2), (1, -1), (2, -1)]
+    ring = [(cx + dx * rng.randint(1, 4) * size / 4, cy + dy * rng.randint(1, 4) * size / 4) for dx, dy in directions[:: 16 // corners]]
+    return [*ring, ring[0]]
+
+
+@pytest.mark.parametrize("strategy,most", [("broadcast", 3), ("shuffle", 6)])
+def test_split_cells_match_brute_force(spark, strategy, most):
+    rng = random.Random(most)
+    shapes = {f"p{k}": [star(rng, rng.randint(-20, 20), rng.randint(-20, 20), rng.choice([1, 4, 16]), 16)] for k in range(12)}
+    shapes["holed"] = [star(rng, 0, 0, 32, 8), [(1, 1), (3, 1), (3, 3), (1, 3), (1, 1)]]
+    pts = [(rng.randint(-160, 160) / 4, rng.randint(-160, 160) / 4) for _ in range(600)]
+    pts += [corner for rings in shapes.values() for ring in rings for corner in ring]
+    cover = S.PolygonCover.build(polygons(spark, shapes), edges_per_cell=most)
+    assert len(cover.levels) > 3
+    located = cover.locate(points(spark, pts), strategy=strategy)
+    expected = sorted((i, k) for i, (x, y) in enumerate(pts) for k, rings in shapes.items() if reference_inside(rings, x, y))
+    assert rows(located, "id", "GISJOIN") == expected
+
+
+def test_cover_rows_of_a_large_shape_keep_few_edges(spark):
+    top = [(float(x), 10.0 + (x * 7919) % 50) for x in range(20_000)]
+    shapes = polygons(spark, {"skyline": [[*top, (19_999.0, 0.0), (0.0, 0.0)]]})
+    cover = S.PolygonCover.build(shapes)
+    most, n = cover.rows.agg(F.max(F.size("_edges")), F.count("*")).first()
+    assert most <= S.EDGES_PER_CELL and n < 20_000
+    pts = [(x + 0.5, 10.0 + (x * 31) % 60) for x in range(0, 19_999, 7)]
+    inside = [i for i, (x, y) in enumerate(pts) if 0 < y < (top[int(x)][1] + top[int(x) + 1][1]) / 2]
+    assert [r[0] for r in rows(cover.locate(points(spark, pts)), "id")] == inside
+
+
+def reference_meet(a, b):
+    edges = lambda rings: [e for r in rings for e in zip(r, r[1:]) if e[0] != e[1]]
+    side = lambda p, q, c: (q[0] - p[0]) * (c[1] - p[1]) - (q[1] - p[1]) * (c[0] - p[0])
+    sign = lambda v: (v > 0) - (v < 0)
+
+    def touch(e, f):
+        (p, q), (c, d) = e, f
+        boxes = all(min(s[0][k], s[1][k]) <= max(t[0][k], t[1][k]) for k in (0, 1) for s, t in ((e, f), (f, e)))
+        return boxes and sign(side(c, d, p)) * sign(side(c, d, q)) <= 0 and sign(side(p, q, c)) * sign(side(p, q, d)) <= 0
+
+    return (
+        any(touch(e, f) for e in edges(a) for f in edges(b))
+        or any(reference_inside(b, *r[0]) for r in a) or any(reference_inside(a, *r[0]) for r in b)
+    )
+
+
+def test_intersects_of_mixed_sizes_match_brute_force(spark):
+    rng, per_key = random.Random(5), 20
+    left = {f"l{k}": [star(rng, rng.randint(-30, 30), rng.randint(-30, 30), rng.choice([0.5, 1, 2]), 8)] for k in range(60)}
+    right = {f"r{k}": [star(rng, rng.randint(-20, 20), rng.randint(-20, 20), rng.choice([1, 8, 30]), 16)] for k in range(6)}
+    right["frame"] = [[(-30, -30), (30, -30), (30, 30), (-30, 30), (-30, -30)], [(-9, -9), (9, -9), (9, 9), (-9, 9), (-9, -9)]]
+    pairs = S.polygons_intersect(polygons(spark, left), polygons(spark, right).withColumnRenamed("GISJOIN", "TRACT"), "GISJOIN", "TRACT", cells_per_key=per_key)
+    assert rows(pairs) == sorted((a, b) for a, x in left.items() for b, y in right.items() if reference_meet(x, y))
+
+
+def test_crowded_cells_of_large_shapes_are_split(spark):
+    small = {f"s{x}_{y}": [[(x, y), (x + 0.5, y), (x + 0.5, y + 0.5), (x, y + 0.5), (x, y)]] for x in range(0, 32) for y in range(0, 32)}
+    large = {"half": [[(-1, -1), (40, -1), (-1, 40), (-1, -1)]]}
+    cells = [S._outline(S.PolygonCover.build(polygons(spark, s))) for s in (large, small)]
+    refined = S._refined(*cells, 20)
+    under = S._on_grids(cells[1].select("_level", "_cx", "_cy"), S._levels(refined), finer=True).groupBy("_grid", "_cx", "_cy").count()
+    keys = refined.select(F.col("_level").alias("_grid"), "_cx", "_cy").distinct()
+    assert under.join(keys, ["_grid", "_cx", "_cy"]).agg(F.max("count")).first()[0] <= 20
+    assert S._refined(cells[1], cells[0], 20) is cells[1]
+    whole = S.polygons_intersect(polygons(spark, small), polygons(spark, large).withColumnRenamed("GISJOIN", "TRACT"), "GISJOIN", "TRACT", cells_per_key=20)
+    assert whole.count() == sum(reference_meet(r, large["half"]) for r in small.values())
