@@ -66,7 +66,8 @@ def forest_pipeline(
     stages, last = _stages(features, scale, "forest" if select else None, weight, seed)
     if weight:
         settings["weightCol"] = weight
-    return Pipeline(stages=[*stages, RandomForestClassifier(featuresCol=last, seed=seed, **settings)])
+    # Rows remember their node of each tree: deep trees need not go out with every level's tasks.
+    return Pipeline(stages=[*stages, RandomForestClassifier(featuresCol=last, seed=seed, cacheNodeIds=True, **settings)])
 
 
 def boosted_pipeline(

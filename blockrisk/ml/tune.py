@@ -1,25 +1,167 @@
-"""Grid search and learning curves on stratified folds."""
+"""Grid search and learning curves on stratified folds.
+
+A search fits what it must and no more. The stages before the classifier (scaler, selection) are
+fitted once a fold, and their output is stored for all candidates. Candidates that differ in the
+number of trees alone share one fit of the largest: a forest is a list of trees, and boosting adds
+trees one after the other, so the smaller ones are its beginnings. The trees between two sizes are
+scored as a model of their own, and their sums give every size in one pass over the rows.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockrisk.ml.split import stratified_folds
-from blockrisk.operators.ranking import row_numbers
+from blockrisk.operators.ranking import running_totals
 from blockrisk.session import materialize
 
-PARALLELISM = 4
+#: Fits that run side by side; each keeps its rows in memory, or on disk beyond it.
+PARALLELISM = 8
+#: Fits of small tables need no more tasks than this many rows ask for.
+ROWS_PER_TASK = 1 << 16
+#: Parameters that only lengthen the list of trees.
+LENGTHS = ("numTrees", "maxIter")
 
 
-def area_evaluator() -> BinaryClassificationEvaluator:
+def area_evaluator(score: str = "rawPrediction") -> BinaryClassificationEvaluator:
     """Area under the ROC curve; ``numBins=0`` makes it exact."""
-    return BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+    return BinaryClassificationEvaluator(rawPredictionCol=score, metricName="areaUnderROC", numBins=0)
+
+
+@dataclass
+class Family:
+    """Candidates that one fit answers for: their places in the grid by number of trees."""
+
+    params: dict
+    length: object | None = None
+    members: dict[int | None, list[int]] = field(default_factory=dict)
+
+
+def families(pipeline: Pipeline, grid: Sequence[dict]) -> list[Family]:
+    """The grid's candidates grouped by all parameters but the number of trees."""
+    classifier = pipeline.getStages()[-1]
+    found: dict[tuple, Family] = {}
+    for place, candidate in enumerate(grid):
+        lengths = [p for p in candidate if p.name in LENGTHS and p.parent == classifier.uid and _has_trees(classifier)]
+        length = lengths[0] if lengths else None
+        rest = {p: v for p, v in candidate.items() if p is not length}
+        family = found.setdefault(tuple(sorted((p.parent, p.name, str(v)) for p, v in rest.items())), Family(rest, length))
+        family.members.setdefault(candidate[length] if lengths else None, []).append(place)
+    return list(found.values())
+
+
+def _has_trees(classifier) -> bool:
+    return hasattr(classifier, "getNumTrees") or hasattr(classifier, "getStepSize")
+
+
+def _part_of(model, first: int, last: int):
+    """Trees ``first`` to ``last`` as a model, made by the JVM class's own constructor."""
+    sc = SparkContext.getOrCreate()
+    trees, ml = model._java_obj.trees(), sc._jvm.org.apache.spark.ml.classification
+    boosted = isinstance(model, GBTClassificationModel)
+    kind = sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel if boosted else ml.DecisionTreeClassificationModel
+    part = sc._gateway.new_array(kind, last - first)
+    for k in range(first, last):
+        part[k - first] = trees[k]
+    uid = f"{model.uid}_{first}_{last}"
+    if not boosted:
+        return RandomForestClassificationModel(ml.RandomForestClassificationModel(uid, part, model.numFeatures, model.numClasses))
+    weights = sc._gateway.new_array(sc._jvm.double, last - first)
+    for k, weight in enumerate(list(model.treeWeights)[first:last]):
+        weights[k] = weight
+    return GBTClassificationModel(ml.GBTClassificationModel(uid, part, weights))
+
+
+def prefix_scores(model, sizes: Iterable[int], rows: DataFrame) -> DataFrame:
+    """``rows`` with a column ``score_<n>`` for each number of trees: what the model's first n trees say.
+
+    Forests give the probability of label 1, boosted trees the margin.
+    """
+    sizes, scored, terms = sorted(sizes), rows, []
+    for first, last in zip([0, *sizes], sizes):
+        part = _part_of(model, first, last)
+        part.setFeaturesCol(model.getFeaturesCol()).setRawPredictionCol(f"_raw{last}").setProbabilityCol("").setPredictionCol("")
+        scored = part.transform(scored)
+        # a forest's trees share out one vote each; boosted trees give (-margin, margin)
+        terms.append(vector_to_array(f"_raw{last}")[1])
+        total: Column = sum(terms[1:], terms[0])
+        share = total / last if isinstance(model, RandomForestClassificationModel) else total
+        scored = scored.withColumn(f"score_{last}", share)
+    return scored.drop(*(f"_raw{n}" for n in sizes))
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """No more partitions than the rows fill."""
+    return df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
+
+def _side_by_side(spark, work: Callable, items: Sequence, parallelism: int) -> list:
+    """Results in order, from a pool of threads that hand their Spark properties on."""
+    pool = ThreadPool(max(1, min(parallelism, len(items))))
+    try:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
+    finally:
+        pool.close()
+
+
+def _areas(classifier, family: Family, train: DataFrame, held: DataFrame) -> dict[int, float]:
+    """Area on the held-out rows for every candidate of a family, after one fit."""
+    lengths = [n for n in family.members if n is not None]
+    params = family.params | ({family.length: max(lengths)} if lengths else {})
+    model = classifier.fit(train, params)
+    if lengths:
+        scored = prefix_scores(model, lengths, held).select("label", *(f"score_{n}" for n in lengths)).persist()
+        found = {n: area_evaluator(f"score_{n}").evaluate(scored) for n in lengths}
+        scored.unpersist()
+    else:
+        found = {None: area_evaluator().evaluate(model.transform(held))}
+    return {place: float(found[n]) for n, places in family.members.items() for place in places}
+
+
+def encoded_fold(pipeline: Pipeline, folded: DataFrame, fold: int, keep: Sequence[str]) -> DataFrame:
+    """All rows as the classifier sees them, by stages fitted on the other folds alone; stored."""
+    *before, classifier = pipeline.getStages()
+    if before:
+        folded = Pipeline(stages=before).fit(folded.filter(F.col("fold") != fold)).transform(folded)
+    return materialize(folded.select("label", "fold", *keep, classifier.getFeaturesCol()))
+
+
+def search_areas(
+    pipeline: Pipeline, grid: Sequence[dict], train: DataFrame, key: str, folds: int = 5, parallelism: int = PARALLELISM,
+) -> list[list[float]]:
+    """For each candidate its area on every fold."""
+    classifier = pipeline.getStages()[-1]
+    rows = train.count()
+    folded = materialize(_sized(stratified_folds(train, key, folds=folds), rows))
+    weights = {v for c in grid for p, v in c.items() if p.name == "weightCol"}
+    if classifier.isDefined("weightCol") and classifier.getWeightCol():
+        weights.add(classifier.getWeightCol())
+    encoded = _side_by_side(train.sparkSession, lambda f: encoded_fold(pipeline, folded, f, sorted(weights)), range(folds), parallelism)
+
+    def fit(job: tuple[int, Family]) -> dict[int, float]:
+        fold, family = job
+        table = encoded[fold]
+        return _areas(classifier, family, table.filter(F.col("fold") != fold), table.filter(F.col("fold") == fold))
+
+    # the longest fits go first, so that none of them is left over at the end
+    jobs = [(fold, family) for family in families(pipeline, grid) for fold in range(folds)]
+    jobs.sort(key=lambda job: [-float(v) for p, v in job[1].params.items() if p.name == "maxDepth"])
+    areas: list[list[float]] = [[0.0] * folds for _ in grid]
+    for (fold, _), found in zip(jobs, _side_by_side(train.sparkSession, fit, jobs, parallelism)):
+        for place, area in found.items():
+            areas[place][fold] = area
+    return areas
 
 
 def grid_search(
@@ -27,54 +169,75 @@ def grid_search(
     folds: int = 5, parallelism: int = PARALLELISM,
 ) -> tuple[PipelineModel, DataFrame]:
     """Model refitted with the best parameters, and the mean area per candidate."""
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
-        evaluator=area_evaluator(), parallelism=parallelism,
-    )
-    fitted = search.fit(materialize(stratified_folds(train, key, folds=folds)))
+    areas = search_areas(pipeline, grid, train, key, folds, parallelism)
+    means = [sum(a) / len(a) for a in areas]
     rows = [
-        (", ".join(sorted(f"{p.name}={v}" for p, v in params.items())), float(mean), float(std))
-        for params, mean, std in zip(grid, fitted.avgMetrics, fitted.stdMetrics)
+        (", ".join(sorted(f"{p.name}={v}" for p, v in params.items())), mean, math.sqrt(sum((x - mean) ** 2 for x in a) / len(a)))
+        for params, mean, a in zip(grid, means, areas)
     ]
     table = train.sparkSession.createDataFrame(
         rows, "parameters string, mean_auc double, std_auc double"
     )
-    return fitted.bestModel, table
+    best = max(range(len(grid)), key=lambda k: means[k])
+    return pipeline.fit(train, grid[best]), table
+
+
+def ranked_folds(train: DataFrame, key: str, folds: int) -> DataFrame:
+    """``train`` with its fold and, for each fold, ``_row<fold>``: the row's place, in key order, among those of other folds."""
+    folded = stratified_folds(train, key, folds=folds)
+    ranked = running_totals(folded, [key], {f"_f{k}": (F.col("fold") == k).cast("long") for k in range(folds)})
+    others = lambda k: sum((F.col(f"_f{j}_before") for j in range(folds) if j != k), F.lit(1))
+    return ranked.select(*folded.columns, *(others(k).alias(f"_row{k}") for k in range(folds)))
+
+
+def training_sizes(ranked: DataFrame, fractions: Sequence[float], folds: int) -> dict[tuple[int, float], tuple[int, bool]]:
+    """(rows, whether both labels are among them) of every fold and fraction, in one pass."""
+    sizes = ranked.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()
+    own = {r["fold"]: r["n"] for r in sizes}
+    rest = {k: sum(own.values()) - own.get(k, 0) for k in range(folds)}
+    firsts = ranked.agg(*(
+        F.min(F.when((F.col("fold") != k) & (F.col("label") == label), F.col(f"_row{k}"))).alias(f"_{k}_{label}")
+        for k in range(folds) for label in (0, 1)
+    )).first()
+    found = {}
+    for k in range(folds):
+        for fraction in fractions:
+            size = max(1, int(rest[k] * fraction))
+            starts = [firsts[f"_{k}_{label}"] for label in (0, 1)]
+            found[k, fraction] = size, all(s is not None and s <= size for s in starts)
+    return found
 
 
 def learning_curve(
     pipeline: Pipeline, train: DataFrame, key: str,
     fractions: Sequence[float] = (0.01, 0.12, 0.23, 0.34, 0.45, 0.56, 0.67, 0.78, 0.89, 1.0),
-    folds: int = 5,
+    folds: int = 5, parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """Mean and deviation of the training and validation area at growing train sizes.
 
     The sizes are nested: each takes the first rows, in key order, of the fold's
-    training part. Folds whose part has a single label give no model: ``fits`` says how
-    many folds the figures of a size rest on, which are null where none does.
+    training part. Rows are ranked once for all folds and stored; a size is a range of
+    their places, and the fits run side by side. Parts that have a single label give no
+    model: ``fits`` says how many folds the figures of a size rest on, which are null
+    where none does.
     """
-    folded = materialize(stratified_folds(train, key, folds=folds))
-    evaluator = area_evaluator()
-    points = []
-    for fold in range(folds):
-        held = folded.filter(F.col("fold") == fold)
-        rest = row_numbers(folded.filter(F.col("fold") != fold), [key], "_row").persist()
-        rows = rest.count()
-        for fraction in fractions:
-            size = max(1, int(rows * fraction))
-            part = rest.filter(F.col("_row") <= size)
-            if part.agg(F.count_distinct("label")).first()[0] < 2:
-                points.append((float(fraction), size, None, None))
-                continue
-            model = pipeline.fit(part)
-            points.append((
-                float(fraction), size,
-                float(evaluator.evaluate(model.transform(part))),
-                float(evaluator.evaluate(model.transform(held))),
-            ))
-        rest.unpersist()
+    spark = train.sparkSession
+    ranked = materialize(_sized(ranked_folds(train, key, folds), train.count()))
+    sizes = training_sizes(ranked, fractions, folds)
+
+    def point(job: tuple[int, float]) -> tuple:
+        fold, fraction = job
+        size, both = sizes[job]
+        if not both:
+            return float(fraction), size, None, None
+        part = ranked.filter((F.col("fold") != fold) & (F.col(f"_row{fold}") <= size))
+        model = pipeline.fit(part)
+        areas = [float(area_evaluator().evaluate(model.transform(rows))) for rows in (part, ranked.filter(F.col("fold") == fold))]
+        return float(fraction), size, *areas
+
+    points = _side_by_side(spark, point, [(k, f) for f in sorted(fractions, reverse=True) for k in range(folds)], parallelism)
     # One row per fold and size.
-    table = train.sparkSession.createDataFrame(
+    table = spark.createDataFrame(
         points, "fraction double, rows long, train double, validation double"
     )
     return table.groupBy("fraction").agg(

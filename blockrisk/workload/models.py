@@ -94,10 +94,10 @@ def _(spark, d):
 
 @query("grid_search_results", "parameters s, mean_auc f, std_auc f")
 def _(spark, d):
-    """The forest, final forest and boosted grids, each over five folds; their parameters tell them apart."""
+    """The forest, final forest and boosted grids behind selection, each over five folds; their parameters tell them apart."""
     train = _train(model_rows(spark, d))
-    forest = ML.forest_pipeline(FEATURES, select=False, weight="weight", seed=SEED)
-    boosted = ML.boosted_pipeline(FEATURES, select=False, weight="weight", seed=SEED)
+    forest = ML.forest_pipeline(FEATURES, weight="weight", seed=SEED)
+    boosted = ML.boosted_pipeline(FEATURES, weight="weight", seed=SEED)
     searches = [(forest, ML.FOREST_GRID), (forest, ML.FINAL_FOREST_GRID), (boosted, ML.BOOSTED_GRID)]
     tables = [tune.grid_search(p, ML.grid_of(p, grid), train, "key")[1] for p, grid in searches]
     return reduce(DataFrame.unionByName, tables)
@@ -201,6 +201,24 @@ def _(spark, d):
     )
 
 
+@query("learning_curve_sizes", "fraction f, rows i, fits i", f"""
+    WITH q AS ({_DECIDED_SQL}), k AS (SELECT CAST(key AS VARCHAR) AS key, label FROM q),
+      placed AS (SELECT key, label, row_number() OVER (PARTITION BY label ORDER BY key) - 1 AS r, count(*) OVER (PARTITION BY label) AS n FROM k),
+      folded AS (
+        SELECT key, label, CASE WHEN r < (n % 5) * (n // 5 + 1) THEN r // (n // 5 + 1) ELSE n % 5 + (r - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold FROM placed),
+      ranked AS (
+        SELECT f.fold AS held, t.label, row_number() OVER (PARTITION BY f.fold ORDER BY t.key) AS row
+        FROM (SELECT DISTINCT fold FROM folded) f JOIN folded t ON t.fold <> f.fold),
+      sizes AS (SELECT held, x.fraction, greatest(1, CAST(floor(count(*) * x.fraction) AS BIGINT)) AS size FROM ranked, (SELECT unnest([0.01, 0.12, 0.23, 0.34, 0.45, 0.56, 0.67, 0.78, 0.89, 1.0])::DOUBLE AS fraction) x GROUP BY 1, 2),
+      parts AS (SELECT s.held, s.fraction, s.size, count(DISTINCT r.label) AS labels FROM sizes s JOIN ranked r ON r.held = s.held AND r.row <= s.size GROUP BY 1, 2, 3)
+    SELECT fraction, CAST(round(avg(size)) AS BIGINT) AS rows, sum(CASE WHEN labels = 2 THEN 1 ELSE 0 END) AS fits FROM parts GROUP BY 1""")
+def _(spark, d):
+    """Rows and fits behind every point of the learning curve of labels that one feature decides."""
+    rows = decided_rows(spark, d)
+    pipeline = ML.logistic_pipeline(DECIDED, select=False, rows=rows.count())
+    return tune.learning_curve(pipeline, rows, "key").select("fraction", "rows", "fits")
+
+
 @query("reloaded_model", "n i, off i", "SELECT count(*) AS n, 0 AS off FROM customer")
 def _(spark, d):
     """Rows that a saved and reloaded model scores otherwise than before."""

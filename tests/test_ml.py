@@ -1,11 +1,14 @@
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from blockrisk.ml import pipelines as ML
 from blockrisk.ml import split as M
 from blockrisk.ml import tune
+from blockrisk.ml.select import ImportanceSelector
 from blockrisk.plans.evaluation import roc_auc
 from tests.conftest import rows
 
@@ -58,6 +61,56 @@ def test_grid_search_refits_the_best(spark, data):
     assert best == f"maxDepth={model.stages[-1].getOrDefault('maxDepth')}"
 
 
+def test_prefixes_of_boosted_trees_equal_their_own_fits(spark, data):
+    encoded = tune.encoded_fold(ML.boosted_pipeline(FEATURES, select=False, seed=1), data.withColumn("fold", F.lit(0)), 1, ["key"])
+    classifier = ML.boosted_pipeline(FEATURES, select=False, seed=1, maxIter=7, maxDepth=3, stepSize=0.5).getStages()[-1]
+    scores = tune.prefix_scores(classifier.fit(encoded), [7, 2, 4], encoded)
+    for n in (2, 4, 7):
+        own = classifier.copy({classifier.maxIter: n}).fit(encoded).transform(encoded).withColumn("own", F.col("rawPrediction"))
+        joined = scores.select("key", f"score_{n}").join(own.select("key", vector_to_array("own")[1].alias("own")), "key")
+        assert joined.count() == 400 and joined.filter(F.abs(F.col(f"score_{n}") - F.col("own")) > 1e-9).isEmpty()
+
+
+def test_prefixes_of_a_forest_are_its_first_trees(spark, data):
+    encoded = tune.encoded_fold(ML.forest_pipeline(FEATURES, select=False, seed=1), data.withColumn("fold", F.lit(0)), 1, ["key"])
+    classifier = ML.forest_pipeline(FEATURES, select=False, seed=1, numTrees=6, maxDepth=4).getStages()[-1]
+    model = classifier.fit(encoded)
+    scores, total = tune.prefix_scores(model, [1, 3, 6], encoded), None
+    for n, tree in enumerate(model.trees, 1):
+        one = vector_to_array(F.col("probability"))[1].alias(f"p{n}")
+        votes = tree.setFeaturesCol("features").transform(encoded).select("key", one)
+        total = votes if total is None else total.join(votes, "key")
+    joined = scores.join(total, "key")
+    for n in (1, 3, 6):
+        mean = sum(F.col(f"p{k}") for k in range(1, n + 1)) / n
+        assert joined.filter(F.abs(F.col(f"score_{n}") - mean) > 1e-9).isEmpty()
+    whole = model.transform(encoded).select("key", vector_to_array("probability")[1].alias("p"))
+    assert scores.join(whole, "key").filter(F.abs(F.col("score_6") - F.col("p")) > 1e-9).isEmpty()
+
+
+def test_search_fits_a_selector_a_fold_and_a_family_once(spark, data, monkeypatch):
+    fits = {"selector": 0, "forest": []}
+    select_fit, forest_fit = ImportanceSelector._fit, RandomForestClassifier._fit
+
+    def selecting(self, dataset):
+        fits["selector"] += 1
+        return select_fit(self, dataset)
+
+    def growing(self, dataset):
+        fits["forest"].append(self.getNumTrees())
+        return forest_fit(self, dataset)
+
+    monkeypatch.setattr(ImportanceSelector, "_fit", selecting)
+    monkeypatch.setattr(RandomForestClassifier, "_fit", growing)
+    pipeline = ML.forest_pipeline(FEATURES, seed=1)
+    grid = ML.grid_of(pipeline, {"numTrees": [2, 3, 5], "maxDepth": [2, 4]})
+    areas = tune.search_areas(pipeline, grid, data, "key", folds=3)
+    assert fits["selector"] == 3 and len(areas) == 6 and all(len(a) == 3 and min(a) > 0.5 for a in areas)
+    # two families a fold, each of the largest size, beside the selector's own base model
+    assert sorted(n for n in fits["forest"] if n == 5) == [5] * 6 and len(fits["forest"]) == 9
+    assert [sorted(f.members) for f in tune.families(pipeline, grid)] == [[2, 3, 5]] * 2
+
+
 def test_grid_translates_c_and_penalty(spark):
     pipeline = ML.logistic_pipeline(FEATURES)
     grid = ML.grid_of(pipeline, ML.LOGISTIC_GRID, rows=10)
