@@ -214,7 +214,7 @@ _SKYLINE = 8192
 
 @query("pip_many_edges", "shape i, n i, total i, edges i", f"""
     WITH tops AS (
-        SELECT CAST(floor(l_orderkey / {_SKYLINE}) AS BIGINT) AS shape, CAST((l_orderkey % {_SKYLINE}) * 8 + l_linenumber AS DOUBLE) AS x, 1 + l_quantity AS h FROM lineitem),
+        SELECT CAST(floor(l_orderkey / {_SKYLINE}) AS BIGINT) AS shape, CAST((l_orderkey % {_SKYLINE}) * 8 + l_linenumber AS DOUBLE) AS x, 1 + max(l_quantity) AS h FROM lineitem GROUP BY l_orderkey, l_linenumber),
       sides AS (SELECT shape, x AS x1, 100 * shape + h AS y1, lead(x) OVER w AS x2, 100 * shape + lead(h) OVER w AS y2 FROM tops WINDOW w AS (PARTITION BY shape ORDER BY x)),
       p AS (SELECT o_orderkey, CAST(floor(o_orderkey / {_SKYLINE}) AS BIGINT) AS at, (o_orderkey % {_SKYLINE}) * 8 + o_custkey % 7 + 0.5 AS px,
                    100 * CAST(floor(o_orderkey / {_SKYLINE}) AS BIGINT) + o_custkey % 60 + 0.5 AS py FROM orders),
@@ -225,7 +225,8 @@ def _(spark, d):
     """Points in shapes of tens of thousands of vertices; ``edges`` tells whether all cover rows keep to the bound."""
     shape = F.floor(F.col("l_orderkey") / _SKYLINE)
     vertex = F.struct(((F.col("l_orderkey") % _SKYLINE) * 8 + F.col("l_linenumber")).cast("double").alias("x"), (100 * shape + 1 + F.col("l_quantity")).alias("y"))
-    tops = T.read(spark, d, "lineitem").groupBy(shape.alias("GISJOIN")).agg(F.array_sort(F.collect_list(vertex)).alias("top"))
+    lines = T.read(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))
+    tops = lines.groupBy(shape.alias("GISJOIN")).agg(F.array_sort(F.collect_list(vertex)).alias("top"))
     foot = "named_struct('x', {}, 'y', cast(100 * GISJOIN AS double))"
     shapes = tops.selectExpr("GISJOIN", f"array(concat(top, array({foot.format('element_at(top, -1).x')}, {foot.format('top[0].x')}, top[0]))) AS rings")
     covered = S.PolygonCover.build(shapes)
@@ -238,7 +239,7 @@ def _(spark, d):
     return located.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("total")).withColumn("edges", bound)
 
 
-# A region, one per nation's share of the blocks: a diamond around the middle of all its blocks, about as
+# A region, one for every fifth customer: a diamond around the middle of all its blocks, about as
 # large as the whole table, hence far larger than a block.
 _REGIONS = f"""
     SELECT 'R' || CAST(c_custkey % 5 AS VARCHAR) AS region, min(x) AS xlo, max(x) + {T.CELL} AS xhi, min(y) AS ylo, max(y) + {T.CELL} AS yhi
