@@ -33,14 +33,27 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def with_place(docs: DataFrame) -> DataFrame:
-    """``docs`` with _file (hash of its path) and _row: where each row lies. Tables not of Parquet files are written first."""
+def with_place(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` and two columns, under names that are free there: hash of a row's file path, and the row's number in it.
+
+    Tables not of Parquet files are written first.
+    """
+    file, row = (free_name(docs, name) for name in ("_file", "_row"))
     try:
-        return docs.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        lies = docs.metadataColumn("_metadata")
+        return docs.select("*", F.xxhash64(lies["file_path"]).alias(file), lies["row_index"].alias(row)), file, row
     except AnalysisException:
         return with_place(written(docs, "documents"))
 
 
+def free_name(table: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of the table is called so."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -259,8 +259,8 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows with words (doc_id, file, row, n, label, component_id) and those without (doc_id, file, row, n)."""
-    placed = with_place(docs)
-    rows = id_and_text(placed, further={"_file": "file", "_row": "row"})
+    placed, file, row = with_place(docs)
+    rows = id_and_text(placed, further={file: "file", row: "row"})
     keys = written(_keys(rows, words, percent), "shingle-keys")
     least = (F.min("doc_id").alias("rep_doc"), F.min(F.xxhash64("file", "row")).alias("rep_place"))
     classes = keys.where("n > 0").groupBy("print").agg(F.first("key").alias("key"), F.first("n").alias("n"), *least)
@@ -286,9 +286,9 @@ def near_duplicate_groups(docs: DataFrame, words: int = WORDS, percent: int = PE
 
 def keep_first_of_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, one per component: the one of the least doc_id, null last, then by place."""
-    placed = with_place(docs)
+    placed, file, row = with_place(docs)
     names = [f"`{n}`" for n in docs.columns]
     grouped, empty = _grouped(placed.select(*names), words, percent)
     first = grouped.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row")).alias("first"))
     kept = first.select("first.file", "first.row").unionByName(empty.select("file", "row"))
-    return placed.join(kept.select(F.col("file").alias("_file"), F.col("row").alias("_row")), ["_file", "_row"], "left_semi").select(*names)
+    return placed.join(kept.select(F.col("file").alias(file), F.col("row").alias(row)), [file, row], "left_semi").select(*names)

@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockrisk.llm.frames import ascii_lower, id_and_text, written
+from blockrisk.llm.frames import ascii_lower, free_name, id_and_text, written
 from blockrisk.session import scratch_path
 
 ROWS_PER_SALT = 1024
@@ -60,7 +60,8 @@ def _settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 def located(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text (lower-cased), file, row. Tables that do not come from Parquet files are written first."""
     try:
-        place = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+        lies = docs.metadataColumn("_metadata")
+        place = docs.select(lies["file_path"].alias("file"), lies["row_index"].alias("row"), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     except AnalysisException:
         return located(written(id_and_text(docs, id_col, text_col), "documents"))
     return place.select("file", "row", F.col(f"`{id_col}`").cast("long").alias("doc_id"), ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text"))
@@ -137,10 +138,11 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256, fi
 
 def keep_last_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``deduplicate`` keeps."""
-    names = docs.columns
+    file, row = (free_name(docs, name) for name in ("_file", "_row"))
     try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        lies = docs.metadataColumn("_metadata")
+        placed = docs.select("*", lies["file_path"].alias(file), lies["row_index"].alias(row))
     except AnalysisException:
         return keep_last_copies(written(docs, "documents"))
-    kept = deduplicate(docs).where("kept").select(F.col("file").alias("_file"), F.col("row").alias("_row"))
-    return placed.join(kept, ["_file", "_row"], "left_semi").select(*(f"`{n}`" for n in names))
+    kept = deduplicate(docs).where("kept").select(F.col("file").alias(file), F.col("row").alias(row))
+    return placed.join(kept, [file, row], "left_semi").select(*(f"`{n}`" for n in docs.columns))

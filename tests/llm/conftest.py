@@ -1,7 +1,7 @@
 import pytest
 
-SCHEMA = "doc_id long, text string, file string, row long, digest string, n long, token long, length int, key string, label int, score double, content string"
-EXTRA = ("f", 1, "d", 2, 3, 4, "k", 5, 0.5, "c")
+SCHEMA = "doc_id long, text string, file string, row long, digest string, n long, token long, length int, key string, label int, score double, content string, _file string, _row long, _row_ int, _metadata string"
+EXTRA = ("f", 1, "d", 2, 3, 4, "k", 5, 0.5, "c", "g", 6, 7, "m")
 LONG = " ".join(f"word{i % 997}x{i % 13}" for i in range(9000))
 TEXTS = [
     (0, "The quick brown fox jumps over the lazy dog again and again."), (1, None), (2, ""), (3, "   \n\t "), (4, LONG), (5, "the QUICK brown fox jumps over the lazy dog again and again."),
