@@ -7,6 +7,7 @@ range totals, one row per range, carry the sums over.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,23 +66,65 @@ def row_numbers(df: DataFrame, keys: Sequence[str], name: str = "row_number") ->
     return ranked.withColumn(name, F.col("_row_before") + 1).drop("_row_before", "_row_total")
 
 
-def quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """One row of exact quantiles with linear interpolation, nulls left out."""
-    counts = (
-        df.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull())
-        .groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = running_totals(counts, ["_value"], {"_c": F.col("_n")})
-    upto = F.col("_c_before") + F.col("_n")
+#: Error of the sketch that brackets a quantile: one row in so many.
+SKETCH = 10_000
+#: A bracket of no more rows than this is read in full; a larger one is narrowed again.
+BRACKET_ROWS = 50_000
+
 
-    def pick(q: float) -> Column:
-        position = (F.col("_c_total") - 1) * F.lit(float(q))
-        low = F.min(F.when(upto > F.floor(position), F.col("_value")))
-        high = F.min(F.when(upto > F.ceil(position), F.col("_value")))
-        part = (F.max("_c_total") - 1) * F.lit(float(q))
-        return low + (high - low) * (part - F.floor(part))
+def quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float], sketch: int = SKETCH, most: int = BRACKET_ROWS) -> DataFrame:
+    """One row of exact quantiles with linear interpolation; nulls and NaN are left out.
 
-    return ranked.agg(*[pick(q).cast("double").alias(n) for n, q in probabilities.items()])
+    A mergeable sketch, one small state per task, brackets the rank asked for; rows below and inside
+    the bracket are counted, and what is inside is bracketed again until few rows are left, whose
+    values are read. Each step is a map-side aggregate behind a range filter that reaches the scan: no row is
+    sorted, stored or sent.
+    """
+    present = df.select(F.col(column).cast("double").alias("_value")).filter("_value is not null and not isnan(_value)")
+    names, schema = list(probabilities), ", ".join(f"`{name}` double" for name in probabilities)
+    # one row about the whole column
+    n, low, high = present.agg(F.count(F.lit(1)), F.min("_value"), F.max("_value")).first()
+    found: dict[float, float] = {}
+    for q in {float(q) for q in probabilities.values()} if n else ():
+        position = (n - 1) * q
+        rank = math.floor(position)
+        values = _values_from(present, n, rank, low, high, sketch, most)
+        found[q] = values[0] if position == rank else values[0] + (values[1] - values[0]) * (position - rank)
+    return df.sparkSession.createDataFrame([tuple(found.get(float(probabilities[name])) for name in names)], schema)
+
+
+def _values_from(present: DataFrame, n: int, rank: int, low: float, high: float, sketch: int, most: int) -> list[float | None]:
+    """The values at ``rank``, from 0, and at the rank after it, of ``n`` rows within [low, high]."""
+    value, below, inside = F.col("_value"), 0, n
+    while inside > most and low < high:
+        # the sketch may be off by a row in ``sketch`` to either side; twice that is asked for
+        shares = [min(1.0, max(0.0, (rank - below) / inside + d)) for d in (-2.0 / sketch, 2.0 / sketch)]
+        near, far = present.filter(value.between(low, high)).agg(F.percentile_approx("_value", shares, sketch)).first()[0]
+        if (near, far) == (low, high):  # too few distinct values for the sketch to part: halved by size
+            far = low + (high - low) / 2
+            if not low <= far < high:
+                break
+        less, between, under, over = present.agg(
+            F.count_if(value < near), F.count_if(value.between(near, far)), F.max(F.when(value < near, value)), F.min(F.when(value > far, value)),
+        ).first()
+        if rank < less:
+            high, inside = under, less - below
+        elif rank < less + between:
+            low, high, below, inside = near, far, less, between
+        else:
+            low, below, inside = over, less + between, below + inside - less - between
+    counts = present.filter(value.between(low, high)).groupBy("_value").agg(F.count(F.lit(1)).alias("n")).orderBy("_value").collect()
+    found: list[float | None] = []
+    for wanted in (rank, rank + 1):
+        upto = below
+        for row in counts:
+            upto += row["n"]
+            if upto > wanted:
+                found.append(row["_value"])
+                break
+    if len(found) < 2:  # the next value lies beyond the bracket, if there is one
+        found.append(present.filter(value > high).agg(F.min("_value")).first()[0])
+    return found
 
 
 def below_quantile(df: DataFrame, column: str, probability: float) -> DataFrame:

@@ -89,3 +89,24 @@ def test_legend_breaks_round_to_the_leading_digit(spark):
     values = [float(v) for v in range(101)]
     got = [r["value"] for r in risk.legend_breaks(column(spark, values, "score")).orderBy("break").collect()]
     assert got == pytest.approx([0.0, 50.0, 80.0, 80.0, 90.0])
+
+
+@pytest.mark.parametrize("sketch,most", [(10_000, 50_000), (20, 5), (4, 1)])
+def test_quantiles_bracketed_by_a_sketch_are_exact(spark, sketch, most):
+    import random
+    rng = random.Random(sketch)
+    columns = {
+        "spread": [rng.uniform(-1e6, 1e6) for _ in range(1000)], "ties": [float(rng.choice([0, 0, 0, 1, 7])) for _ in range(1000)],
+        "few": [3.0, 1.0], "one": [5.0], "two_values": [1e-300] * 500 + [1e300] * 500, "steps": [float(k // 3) for k in range(1000)],
+    }
+    asked = {"zero": 0.0, "low": 0.05, "middle": 0.5, "high": 0.95, "top": 1.0}
+    for values in columns.values():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double").repartition(3)
+        got = R.quantiles(df, "v", asked, sketch, most).first().asDict()
+        ordered = sorted(values)
+        for name, q in asked.items():
+            position = (len(ordered) - 1) * q
+            a, b = ordered[int(position)], ordered[min(int(position) + 1, len(ordered) - 1)]
+            assert got[name] == (a if position == int(position) else a + (b - a) * (position - int(position)))
+    empty = spark.createDataFrame([], "v double")
+    assert R.quantiles(empty, "v", asked).first().asDict() == dict.fromkeys(asked)
