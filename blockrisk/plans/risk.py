@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockrisk.functions import fields as C
-from blockrisk.ml.pipelines import scored
+from blockrisk.ml.pipelines import load, save, scored
 from blockrisk.ml.split import TARGETS, feature_names, year_split
 from blockrisk.operators import panel as P
 from blockrisk.operators.aggregates import fill_nulls
 from blockrisk.operators.ranking import flag_above_threshold, quantiles, row_numbers, top_k
 from blockrisk.operators.spatial import PolygonCover
 from blockrisk.session import stored
+from blockrisk.sources.files import read_scoring_set, write_scoring_set
 
 # Blocks to flag per fire type.
 HIGH_RISK_BLOCKS = {"structure": 290, "external": 560, "vehicle": 180}
@@ -36,6 +38,47 @@ def model_for(fire_type: str, year: int) -> tuple[str, int]:
     return f"{fire_type}_{2017 if year == 2017 else 2018}", year
 
 
+@dataclass(frozen=True)
+class ModelRegistry:
+    """Saved models by fire type and year of training, and scoring sets by year, under one folder."""
+
+    folder: str
+
+    def model_path(self, name: str) -> str:
+        return f"{self.folder}/models/{name}"
+
+    def add_model(self, fire_type: str, year: int, model: PipelineModel) -> None:
+        save(model, self.model_path(f"{fire_type}_{year}"))
+
+    def add_scoring_set(self, rows: DataFrame, year: str = "target_year") -> None:
+        write_scoring_set(rows, f"{self.folder}/scoring", year)
+
+    def risk(self, spark: SparkSession, fire_type: str, year: int, key: str = "GISJOIN") -> DataFrame:
+        """Score and flag of every block for a fire type and year, by the model that serves them."""
+        name, target = model_for(fire_type, year)
+        rows = read_scoring_set(spark, f"{self.folder}/scoring", target)
+        return risk_of_year(rows, load(self.model_path(name)), fire_type, key=key)
+
+
+def risk_of_requests(requests: DataFrame, registry: ModelRegistry, blocks: DataFrame, key: str = "GISJOIN", box: tuple[float, float, float, float] = C.CITY_BOX) -> DataFrame:
+    """Requests (fire_type, year, lon, lat and more) with their block, its score and high-risk flag.
+
+    Requests are located once, whatever they ask for. Every fire type and year asked for, nine at
+    most in use, is scored once for all blocks and joined by (type, year, block). Requests
+    outside the box drop out; those in no block, or on a border, have nulls.
+    """
+    spark = requests.sparkSession
+    asked = sorted((r["fire_type"], r["year"]) for r in requests.select("fire_type", "year").distinct().collect())
+    located = PolygonCover.build(blocks, key).locate_all(requests.filter(C.in_city_box("lon", "lat", box) == 1))
+    scores = None
+    for fire_type, year in asked:
+        one = registry.risk(spark, fire_type, year, key).select(F.lit(fire_type).alias("fire_type"), F.lit(year).alias("year"), key, "score", "highrisk")
+        scores = one if scores is None else scores.unionByName(one)
+    if scores is None:
+        return located.withColumns({"score": F.lit(None).cast("double"), "highrisk": F.lit(None).cast("int")})
+    return located.join(scores, ["fire_type", "year", key], "left")
+
+
 def risk_map(scored: DataFrame, blocks: DataFrame, n: int, key: str = "GISJOIN") -> DataFrame:
     """Geometry, score and high-risk flag per scored block, joined by key."""
     flagged = flag_above_threshold(scored, "score", n)

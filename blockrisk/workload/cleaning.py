@@ -9,7 +9,7 @@ from blockrisk.functions import geometry as G
 from blockrisk.operators import aggregates as A
 from blockrisk.operators.ranking import below_quantile, quantiles
 from blockrisk.session import scratch_path
-from blockrisk.sources import census, files
+from blockrisk.sources import artefacts, census, files
 from blockrisk.workload import tables as T
 from blockrisk.workload.registry import query
 
@@ -366,6 +366,21 @@ def _(spark, d):
     return files.read_or_build(spark, path, build)
 
 
+@query("read_or_build_changed", "yr i, urgent i, n i", """
+    SELECT CAST(year(o_orderdate) AS BIGINT) AS yr, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS urgent, count(*) AS n FROM orders GROUP BY 1, 2""")
+def _(spark, d):
+    """A table by year, built from the orders up to 1999 and refreshed when those of later years arrive in a second file."""
+    folder, path = scratch_path(spark, "inputs"), scratch_path(spark, "artefact")
+    orders = T.read(spark, d, "orders").select(F.year("o_orderdate").alias("yr"), "o_orderpriority")
+    load = lambda files: spark.read.parquet(*files)
+    build = lambda rows: rows.groupBy("yr", F.left("o_orderpriority", F.lit(1)).cast("int").alias("urgent")).agg(F.count(F.lit(1)).alias("n"))
+    for part in (F.col("yr") < 2000, F.col("yr") >= 2000):
+        orders.filter(part).write.mode("append").parquet(folder)
+        files = spark.read.parquet(folder).inputFiles()
+        table = artefacts.refresh(spark, path, files, load, build, "yr")
+    return table
+
+
 @query("scoring_set", "o_orderkey i", "SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 2000")
 def _(spark, d):
     path = scratch_path(spark, "scoring")

@@ -238,6 +238,37 @@ def _(spark, d):
     return table.select("parameters", (F.col("mean_auc") > 0.999).cast("int").alias("best"))
 
 
+# Nations from which a block burns, by fire type and year of the model's training.
+_BURNS = {("structure", 2017): 5, ("structure", 2018): 8, ("vehicle", 2017): 11, ("vehicle", 2018): 14, ("external", 2017): 17, ("external", 2018): 20}
+_TYPE_SQL = "CASE s.event_id % 3 WHEN 0 THEN 'structure' WHEN 1 THEN 'vehicle' ELSE 'external' END"
+_YEAR_SQL = "2017 + CAST(floor(s.event_id / 3) AS BIGINT) % 3"
+_LEAST_SQL = " ".join(f"WHEN fire_type = '{t}' AND least(year, 2018) = {y} THEN {least}" for (t, y), least in _BURNS.items())
+
+
+@query("risk_requests", "event_id i, fire_type s, year i, GISJOIN s, high i", f"""
+    WITH edges AS ({T.edges_sql()}), sites_p AS (SELECT event_id, lon AS px, lat AS py FROM ({T.table_sql('sites')}) z),
+      hits AS ({T.contains_sql('sites_p', 'sites_p.event_id')}),
+      asked AS (SELECT s.event_id, {_TYPE_SQL} AS fire_type, {_YEAR_SQL} AS year FROM sites_p s WHERE s.px > -122.53 AND s.px < -122.35 AND s.py > 37.7 AND s.py < 37.84),
+      nations AS (SELECT b."GISJOIN", c.c_nationkey AS nation FROM ({T.table_sql('census_blocks')}) b JOIN customer c ON b."GISJOIN" = 'G06' || lpad(CAST(c.c_custkey AS VARCHAR), 9, '0'))
+    SELECT a.event_id, a.fire_type, a.year, h."GISJOIN",
+           CASE WHEN n.nation IS NULL THEN NULL WHEN (n.nation + a.year) % 25 >= CASE {_LEAST_SQL} END THEN 1 ELSE 0 END AS high
+    FROM asked a LEFT JOIN hits h ON h.event_id = a.event_id LEFT JOIN nations n ON n."GISJOIN" = h."GISJOIN" """)
+def _(spark, d):
+    """Requests of three fire types and years, answered by six saved models and three scoring sets."""
+    people = T.read(spark, d, "customer").select(F.concat(F.lit("G06"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("GISJOIN"), "c_nationkey", "c_acctbal")
+    years = people.withColumn("target_year", F.explode(F.array(*map(F.lit, (2017, 2018, 2019)))))
+    rows = years.withColumn("nation", ((F.col("c_nationkey") + F.col("target_year")) % 25).cast("double")).withColumn("balance", F.col("c_acctbal").cast("double"))
+    registry = risk.ModelRegistry(scratch_path(spark, "registry"))
+    registry.add_scoring_set(rows.select("GISJOIN", "nation", "balance", "target_year"))
+    rows = materialize(rows.select("nation", "balance"))
+    for (fire_type, year), least in _BURNS.items():
+        pipeline = ML.forest_pipeline(["nation", "balance"], select=False, seed=SEED, numTrees=5, maxDepth=2, featureSubsetStrategy="all")
+        registry.add_model(fire_type, year, pipeline.fit(rows.withColumn("label", (F.col("nation") >= least).cast("int"))))
+    sites = T.logical(spark, d, "sites").alias("s").selectExpr("event_id", f"{_TYPE_SQL} AS fire_type", f"cast({_YEAR_SQL} AS int) AS year", "lon", "lat")
+    answered = risk.risk_of_requests(sites, registry, T.blocks(spark, d))
+    return answered.select("event_id", "fire_type", "year", "GISJOIN", (F.col("score") > 5).cast("int").alias("high"))
+
+
 @query("risk_pipeline", "split s, n i, flagged_ok i", f"""
     SELECT CASE WHEN y.y = {GEO.LAST} THEN 'future' WHEN y.y = {GEO.LAST} - 1 THEN 'holdout' ELSE 'train' END AS split, count(*) AS n, 1 AS flagged_ok
     FROM ({T.table_sql('census_blocks')}) b, range({GEO.FIRST}, {GEO.LAST} + 1) y(y) GROUP BY 1""")
