@@ -124,6 +124,15 @@ def describe_yearly(df: DataFrame, year: str, columns: Sequence[str]) -> DataFra
     )
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """place, name, type and number of values of every column, by one aggregate over the table."""
+    fields = df.schema.fields
+    counted = [F.struct(
+        F.lit(k).alias("place"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.count(F.col(f"`{f.name}`")).alias("non_null"),
+    ) for k, f in enumerate(fields)]
+    return df.agg(F.array(*counted).alias("_columns")).select(F.inline("_columns"))
+
+
 def numeric_columns(df: DataFrame, without: Sequence[str] = ()) -> list[str]:
     return [
         f.name for f in df.schema.fields

@@ -399,3 +399,13 @@ def _(spark, d):
     flat = T.read(spark, d, "orders").select("o_orderkey", x.alias("x"), y.alias("y"))
     back_lon, back_lat = G.from_albers(F.col("x"), F.col("y"))
     return flat.select("o_orderkey", back_lon.alias("lon"), back_lat.alias("lat"))
+
+
+_LANDUSE = {"block_num": "string", "landuse": "string", "resunits": "int", "retail": "int", "yrbuilt": "int"}
+
+
+@query("schema_inspection", "place i, name s, type s, non_null i", " UNION ALL ".join(
+    f"SELECT {k} AS place, '{name}' AS name, '{kind}' AS type, count(\"{name}\") AS non_null FROM ({T.table_sql('landuse')}) t{k}" for k, (name, kind) in enumerate(_LANDUSE.items())))
+def _(spark, d):
+    """Columns of the land-use table with their types and numbers of values."""
+    return A.column_profile(T.logical(spark, d, "landuse").select(*_LANDUSE))

@@ -286,6 +286,31 @@ def _(spark, d):
     return census.tracts_to_blocks(T.blocks(spark, d), tracts, tracts, tracts)
 
 
+# Tracts moved a little, so that no border of theirs coincides with one of a block: contact within
+# the rounding of a reprojection would be undecided.
+_EAST, _NORTH = 0.000333, 0.000217
+_MOVED_MEET = _MEET.replace(_TRACT_EDGES, f"SELECT tract, x1 + {_EAST} AS x1, y1 + {_NORTH} AS y1, x2 + {_EAST} AS x2, y2 + {_NORTH} AS y2 FROM ({_TRACT_EDGES}) t")
+
+
+@query("tract_to_block_projected", "GISJOIN s, JOIE001 m, JTIE001 m, J4TM001 f", f"""
+    WITH {_MOVED_MEET}, local AS (SELECT * FROM {src('tracts')} WHERE "COUNTY" = 'San Francisco County'),
+      boxed AS (SELECT "TRACT" FROM local WHERE x / 1e6 + 0.0056 > -122.53 AND x / 1e6 + 0.0056 < -122.35 AND y / 1e6 + 0.0056 > 37.7 AND y / 1e6 + 0.0056 < 37.84),
+      pairs AS (SELECT b."GISJOIN", m.tract AS "TRACT" FROM {src('census_blocks')} b
+                LEFT JOIN (SELECT * FROM meet WHERE tract IN (SELECT "TRACT" FROM boxed)) m ON m.block = b."GISJOIN")
+    SELECT p."GISJOIN", l."JOIE001", l."JTIE001", l."J4TM001"
+    FROM pairs p FULL JOIN local l ON l."TRACT" = p."TRACT" """)
+def _(spark, d):
+    """Tracts arrive in the conic projection with the interior point of each; those outside the city box meet no block."""
+    def project(p):
+        x, y = G.to_albers(p["x"] + _EAST, p["y"] + _NORTH)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    tracts = T.tracts(spark, d)
+    inner = [(F.col("rings")[0][0][axis] + 0.0056).cast("string").alias(name) for axis, name in (("x", "INTPTLON10"), ("y", "INTPTLAT10"))]
+    shapes = tracts.select("*", *inner).withColumn("rings", F.transform("rings", lambda r: F.transform(r, project)))
+    return census.tracts_to_blocks(T.blocks(spark, d), shapes, tracts, tracts, box=C.CITY_BOX, projected=True)
+
+
 @query("centroid", "block_num s, lon f, lat f", f"""
     SELECT block_num, (x + x2) / 2 AS lon, (y + y2) / 2 AS lat FROM {src('landuse')}""")
 def _(spark, d):
@@ -627,6 +652,19 @@ def _(spark, d):
     )
 
 
+CITY_FEATURE_SQL = FEATURE_SQL.replace(
+    f"edges AS ({T.edges_sql()})", f'edges AS (SELECT * FROM ({T.edges_sql()}) z WHERE block IN (SELECT "GISJOIN" FROM ({_CITY}) c))'
+).replace(f"FROM {src('census_blocks')} b, generate_series", f"FROM ({_CITY}) b, generate_series")
+
+
+@query("feature_table_city", FEATURE_KINDS, CITY_FEATURE_SQL)
+def _(spark, d):
+    """The feature table of the city: blocks of the county whose interior point lies in the box."""
+    return features.yearly_feature_table(
+        raw_tables(spark, d), FIRST, LAST, SINCE, last_complete_year=LAST, box=C.CITY_BOX
+    )
+
+
 @query("legacy_table", f"GISJOIN s, {kinds(COUNTS)}, {kinds(CENSUS_COLUMNS)}, {ROLL_KINDS}, rings i", f"""
     {ctes('fires', 'violations', 'inspections', 'crimes')}, {PROPERTY_BLOCK_SQL},
     people AS ({CENSUS_SQL}),
