@@ -33,6 +33,12 @@ def encoder(name: str) -> "LibraryEncoder":
     return _ENCODERS[name]
 
 
+def forget_all() -> None:
+    """Drops the chunks of all encoders: another stage needs the memory of this worker now."""
+    for one in _ENCODERS.values():
+        one._forget()
+
+
 def _drops_white_space(spec: dict) -> bool:
     """Whether texts fall apart at white space: \\s+ is replaced and a split keeps matches only."""
     parts = lambda key, of: (spec.get(key) or {}).get(of) or []

@@ -21,6 +21,7 @@ rows score alike; an empty table gives no rows; without labels of both kinds eve
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from blockrisk.llm import library_tokens
 from blockrisk.llm.frames import id_and_text, scored_rows, slices, split_points, strings_of
 from blockrisk.llm.labelled_sample import labelled_sample
 
@@ -42,13 +44,22 @@ PER_CLASS, TRAINING_BYTES = 2000, 16_384
 SENTENCE_WORDS = 64
 #: Distinct clean words of the sample that the machine may learn from, at most.
 MOST_NEGATIVES = 80_000
-CACHE_WORDS = 1_000_000
+#: A worker keeps the words of the model in use only, and about so many bytes of them.
+CACHE_BYTES, BYTES_PER_WORD = 24 << 20, 160
 BEGIN, END = "\x02", "\x03"
 RESULT = "doc_id long, score double"
 _INSIDE = r"([\p{L}])[^\p{L}\s]+([\p{L}])"
 _WORDS: dict[str, dict[str, float]] = {}
 
 
+def _words_of(number: str) -> dict[str, float]:
+    """The worker's scored words of one model; those of any other are dropped, and all once they are too many."""
+    if number not in _WORDS or len(_WORDS[number]) * BYTES_PER_WORD > CACHE_BYTES:
+        _WORDS.clear()
+        library_tokens.forget_all()
+    return _WORDS.setdefault(number, {})
+
+
 def word_lists(texts: pa.Array) -> pa.Array:
     """For each text its words of letters: marks inside words dropped, single letters in a row joined."""
     low = pc.utf8_lower(texts)
@@ -148,6 +159,11 @@ class ToxicityModel:
     shift: float = -40.0
     number: str = ""
 
+    def seal(self) -> None:
+        """Names the model by all that a word's margin depends on."""
+        parts = [repr(self.table.landmarks).encode(), np.asarray(self.weights, np.float64).tobytes(), np.float64(self.bias).tobytes()]
+        self.number = hashlib.sha256(b"|".join(parts)).hexdigest()
+
     def margins(self, words: list[str]) -> np.ndarray:
         """Signed distance of each word; very long words count as their worst overlapping window."""
         if self.table is None or not words:
@@ -162,9 +178,7 @@ class ToxicityModel:
     def score(self, texts: pa.Array) -> np.ndarray:
         lists = word_lists(texts)
         coded = lists.flatten().dictionary_encode()
-        known = _WORDS.setdefault(self.number, {})
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        known = _words_of(self.number)
         words = coded.dictionary.to_pylist()
         new = [w for w in words if w not in known]
         known.update(zip(new, self.margins(new).tolist()))
@@ -278,7 +292,6 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     usual = [BEGIN + w + END for w, _ in clean_words.most_common(400) if len(w) >= 3]
     usual = [usual[k] for k in rng.permutation(len(usual))[: landmarks - len(marks)]]
     model = ToxicityModel(KernelTable(list(dict.fromkeys(marks + usual))))
-    model.number = f"{model.table.landmarks}|{len(texts)}"
     # Nyström: features k(x, landmarks) W^(-1/2), W the kernel among the landmarks
     values, vectors = np.linalg.eigh(model.table.features(model.table.landmarks).astype(np.float64))
     whiten = (vectors / np.sqrt(np.maximum(values, 1e-3))).astype(np.float32)
@@ -306,6 +319,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
         hard = np.argsort(-(negative @ model.weights))[:4000]
     worst = np.array([model.margins(list(words)).max() if words else model.bias for words in by_text])
     model.slope, model.shift = _logistic(np.maximum(worst, model.bias), y)
+    model.seal()
     return model
 
 

@@ -64,6 +64,21 @@ def test_string_kernel_machine_learns_and_tolerates_gaps():
     assert odd[2] > 0.5 > max(odd[0], odd[1], odd[3])
 
 
+def test_scored_words_belong_to_one_model(monkeypatch):
+    """Another model with the same landmarks gets its own scores, and the worker keeps one model's words within the bound."""
+    texts = pa.array(["you idiot there", "a quiet garden"])
+    model, other = K.fit(*toy_texts(1, 200)), K.fit(*toy_texts(1, 200))
+    other.weights, other.bias = -other.weights, -other.bias
+    other.seal()
+    first, second = model.score(texts), other.score(texts)
+    assert first[0] > 0.5 and abs(second[0] - other.probability(max(other.margins(["you", "idiot", "there"]).max(), other.bias))) < 1e-9
+    assert list(K._WORDS) == [other.number] and model.score(texts).tolist() == first.tolist() and list(K._WORDS) == [model.number]
+    monkeypatch.setattr(K, "CACHE_BYTES", 4 * K.BYTES_PER_WORD)
+    for start in range(0, 60, 6):
+        model.score(pa.array([" ".join(f"word{'abcdefghij'[n % 10]}{'klmnopqrst'[n // 10]}" for n in range(start, start + 6))]))
+        assert len(K._WORDS[model.number]) <= 4 + 6
+
+
 def test_models_without_labels():
     assert K.fit(["a b"], [0]).score(pa.array(["idiot", ""])).tolist() == [0, 0]
     assert (Q.fit(["a b"], [1]).score(pa.array(["x", ""])) > 0.99).all()
