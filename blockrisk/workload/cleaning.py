@@ -314,6 +314,16 @@ def _(spark, d):
     return files.read_csv(spark, path, files.FIRE_SCHEMA).groupBy("Location").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("csv_line_breaks_split", "Location s, n i", f"""
+    SELECT 'at ' || coalesce("Location", '') || chr(10) || 'SF, "CA"' AS "Location", count(*) AS n FROM {src('fires')} GROUP BY 1""")
+def _(spark, d):
+    """The same records, read with splits inside files."""
+    path = scratch_path(spark, "broken-csv")
+    wrapped = F.concat(F.lit("at "), F.coalesce("Location", F.lit("")), F.lit('\nSF, "CA"'))
+    files.write_csv(T.logical(spark, d, "fires").withColumn("Location", wrapped), path)
+    return files.read_split_csv(spark, path, files.FIRE_SCHEMA).groupBy("Location").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("csv_encoding", "name s, n i", """
     SELECT 'café ' || c_mktsegment AS name, count(*) AS n FROM customer GROUP BY 1""")
 def _(spark, d):
@@ -351,6 +361,15 @@ def _(spark, d):
     return _areas(files.read_polygons(spark, path))
 
 
+@query("polygon_store_box", "GISJOIN s, area f", f"""
+    {_AREA_SQL} HAVING min(x1) <= {C.CITY_BOX[1]} AND max(x1) >= {C.CITY_BOX[0]} AND min(y1) <= {C.CITY_BOX[3]} AND max(y1) >= {C.CITY_BOX[2]}""")
+def _(spark, d):
+    """Blocks of the city box out of a store that keeps bounds and the order of a curve."""
+    path = scratch_path(spark, "polygon-store")
+    files.write_polygon_store(T.blocks(spark, d), path)
+    return _areas(files.read_polygon_store(spark, path, C.CITY_BOX))
+
+
 @query("geojson_layer", "GISJOIN s, area f", _AREA_SQL)
 def _(spark, d):
     path = scratch_path(spark, "geojson")

@@ -68,3 +68,53 @@ def test_scoring_set_prunes_by_year(spark, tmp_path):
     one = files.read_scoring_set(spark, str(tmp_path / "scores"), 2019)
     assert rows(one, "k") == [("b",)]
     assert "PartitionFilters: [isnotnull(target_year" in one._jdf.queryExecution().toString()
+
+
+def test_csv_with_line_breaks_is_split_within_a_file(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    texts = ["plain", 'say "hi"', "two\nlines", '"\n"', "a,b\n\n,", "", None, "tail\n", '""', "é" * 30]
+    data = [(k, rng.choice(texts), rng.choice(texts)) for k in range(400)]
+    given = spark.createDataFrame(data, "k int, a string, b string")
+    path = str(tmp_path / "broken")
+    files.write_csv(given.coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 3
+        got = files.read_split_csv(spark, path, "b string, k int, a string")
+        whole = files.read_csv(spark, path, "b string, k int, a string")
+        assert rows(got) == rows(whole) and got.count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    crlf = tmp_path / "crlf.csv"
+    crlf.write_bytes(b'a,b\r\n"x\ny",1\r\n\r\nz,2')
+    assert rows(files.read_split_csv(spark, str(crlf), "a string, b int")) == [("x\ny", 1), ("z", 2)]
+
+
+def test_polygon_store_skips_what_a_box_does_not_meet(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    squares = {f"s{x}_{y}": [[(x, y), (x + 0.5, y), (x + 0.5, y + 0.5), (x, y + 0.5), (x, y)]] for x in range(32) for y in range(32)}
+    path = str(tmp_path / "store")
+    files.write_polygon_store(polygons(spark, squares | {"none": []}), path, files=32)
+    box = (3.0, 6.0, 20.0, 23.4)
+    met = files.read_polygon_store(spark, path, box)
+    assert met.columns == ["GISJOIN", "rings"] and {r.GISJOIN for r in met.collect()} == {f"s{x}_{y}" for x in range(3, 7) for y in range(20, 24)}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = files.read_polygon_store(spark, path, box)._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert all(f"({c},{v})" in plan for c, v in (("_xmin", "6.0"), ("_xmax", "3.0"), ("_ymin", "23.4"), ("_ymax", "20.0")))
+    groups = hit = 0
+    for file in (tmp_path / "store").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        places = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            stat = lambda c: meta.row_group(g).column(places[c]).statistics
+            groups += 1
+            hit += stat("_xmin").has_min_max and stat("_xmin").min <= 6 and stat("_xmax").max >= 3 and stat("_ymin").min <= 23.4 and stat("_ymax").max >= 20
+    assert groups >= 30 and hit <= groups / 4
+    assert files.read_polygon_store(spark, path).count() == 32 * 32 + 1
+    files.write_polygon_store(polygons(spark, {}), str(tmp_path / "empty"))
+    assert files.read_polygon_store(spark, str(tmp_path / "empty"), box).count() == 0
