@@ -154,36 +154,38 @@ def centroid(rings: str) -> tuple[str, str]:
 
 # --- conic equal-area projection used by the census shapes (NAD83 / GRS80) ---
 
-# Ellipsoid and the contiguous-US Albers parameters.
+# Ellipsoid and the contiguous-US Albers parameters. Other projections give their own
+# ``a`` and ``f`` beside the parallels and the origin.
 GRS80_A = 6378137.0
 GRS80_F = 1 / 298.257222101
 ALBERS_US = {"lat0": 37.5, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5}
 
-_E2 = GRS80_F * (2 - GRS80_F)
-_E = math.sqrt(_E2)
 
+def albers_constants(
+    lat0: float, lon0: float, lat1: float, lat2: float, a: float = GRS80_A, f: float = GRS80_F
+) -> dict[str, float]:
+    e2 = f * (2 - f)
+    e = math.sqrt(e2)
 
-def _q(phi: float) -> float:
-    s = math.sin(phi)
-    return (1 - _E2) * (
-        s / (1 - _E2 * s * s) - math.log((1 - _E * s) / (1 + _E * s)) / (2 * _E)
-    )
-
-
-def _m(phi: float) -> float:
-    s = math.sin(phi)
-    return math.cos(phi) / math.sqrt(1 - _E2 * s * s)
+    def q(phi: float) -> float:
+        s = math.sin(phi)
+        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
 
+    def m(phi: float) -> float:
+        s = math.sin(phi)
+        return math.cos(phi) / math.sqrt(1 - e2 * s * s)
 
-def albers_constants(lat0: float, lon0: float, lat1: float, lat2: float) -> dict[str, float]:
     p0, p1, p2 = (math.radians(v) for v in (lat0, lat1, lat2))
-    n = (_m(p1) ** 2 - _m(p2) ** 2) / (_q(p2) - _q(p1))
-    c = _m(p1) ** 2 + n * _q(p1)
+    n = (m(p1) ** 2 - m(p2) ** 2) / (q(p2) - q(p1))
+    c = m(p1) ** 2 + n * q(p1)
     return {
         "n": n,
         "c": c,
-        "rho0": GRS80_A * math.sqrt(c - n * _q(p0)) / n,
+        "rho0": a * math.sqrt(c - n * q(p0)) / n,
         "lon0": math.radians(lon0),
+        "a": a,
+        "e2": e2,
+        "e": e,
     }
 
 
@@ -196,18 +198,19 @@ def from_albers(
     (Snyder 1987, eq. 3-16), which leaves less than 1e-10 degrees.
     """
     k = albers_constants(**params)
+    e, e2 = k["e"], k["e2"]
     dy = F.lit(k["rho0"]) - y
     rho = F.sqrt(x * x + dy * dy)
     theta = F.atan2(x * math.copysign(1.0, k["n"]), dy * math.copysign(1.0, k["n"]))
-    q = (F.lit(k["c"]) - rho * rho * (k["n"] / GRS80_A) ** 2) / k["n"]
+    q = (F.lit(k["c"]) - rho * rho * (k["n"] / k["a"]) ** 2) / k["n"]
 
     def correct(phi: Column, _step: Column) -> Column:
         s = F.sin(phi)
-        w = F.lit(1.0) - s * s * _E2
+        w = F.lit(1.0) - s * s * e2
         gap = (
-            q / (1 - _E2)
+            q / (1 - e2)
             - s / w
-            + F.log((F.lit(1.0) - s * _E) / (F.lit(1.0) + s * _E)) / (2 * _E)
+            + F.log((F.lit(1.0) - s * e) / (F.lit(1.0) + s * e)) / (2 * e)
         )
         return phi + w * w / (F.cos(phi) * 2.0) * gap
 
@@ -221,10 +224,11 @@ def to_albers(
 ) -> tuple[Column, Column]:
     """(lon, lat) in degrees to metres on the conic projection."""
     k = albers_constants(**params)
+    e, e2 = k["e"], k["e2"]
     s = F.sin(F.radians(lat))
-    q = (s / (F.lit(1.0) - s * s * _E2)
-         - F.log((F.lit(1.0) - s * _E) / (F.lit(1.0) + s * _E)) / (2 * _E)) * (1 - _E2)
-    rho = F.sqrt(F.lit(k["c"]) - q * k["n"]) * (GRS80_A / k["n"])
+    q = (s / (F.lit(1.0) - s * s * e2)
+         - F.log((F.lit(1.0) - s * e) / (F.lit(1.0) + s * e)) / (2 * e)) * (1 - e2)
+    rho = F.sqrt(F.lit(k["c"]) - q * k["n"]) * (k["a"] / k["n"])
     theta = (F.radians(lon) - k["lon0"]) * k["n"]
     return rho * F.sin(theta), F.lit(k["rho0"]) - rho * F.cos(theta)
 

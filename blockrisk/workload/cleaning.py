@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from blockrisk.functions import fields as C
@@ -420,6 +422,35 @@ def _(spark, d):
     return flat.select("o_orderkey", back_lon.alias("lon"), back_lat.alias("lat"))
 
 
+def _albers_sql(lon: str, lat: str) -> tuple[str, str]:
+    """The conic projection by the power series of the authalic integral, apart from the closed form of the library."""
+    f = 1 / 298.257222101
+    a, e2 = 6378137.0, f * (2 - f)
+    weights = [(1 - e2) * e2**k * (2 * k + 2) / (2 * k + 1) for k in range(10)]
+    q = lambda s: sum(w * s ** (2 * k + 1) for k, w in enumerate(weights))
+    s0, s1, s2 = (math.sin(math.radians(v)) for v in (37.5, 29.5, 45.5))
+    m1, m2 = ((1 - s * s) / (1 - e2 * s * s) for s in (s1, s2))
+    n = (m1 - m2) / (q(s2) - q(s1))
+    c = m1 + n * q(s1)
+    series = " + ".join(f"{w!r} * pow(sin(radians({lat})), {2 * k + 1})" for k, w in enumerate(weights))
+    radius = f"({a / n!r} * sqrt({c!r} - {n!r} * ({series})))"
+    angle = f"({n!r} * radians({lon} + 96.0))"
+    return f"{radius} * sin({angle})", f"{a / n * math.sqrt(c - n * q(s0))!r} - {radius} * cos({angle})"
+
+
+_PROJECTED = _albers_sql("lon", "lat")
+
+
+@query("project_forward", "o_orderkey i, x m, y m", f"""
+    SELECT o_orderkey, {_PROJECTED[0]} AS x, {_PROJECTED[1]} AS y FROM (
+        SELECT o_orderkey, -124.5 + (o_orderkey % 9973) / 2e2 AS lon, 25.0 + (o_orderkey * 7 % 9967) / 4e2 AS lat FROM orders) q""")
+def _(spark, d):
+    """Degrees to metres over the whole country."""
+    key = F.col("o_orderkey")
+    x, y = G.to_albers(F.lit(-124.5) + key % 9973 / F.lit(2e2), F.lit(25.0) + key * 7 % 9967 / F.lit(4e2))
+    return T.read(spark, d, "orders").select("o_orderkey", x.alias("x"), y.alias("y"))
+
+
 _LANDUSE = {"block_num": "string", "landuse": "string", "resunits": "int", "retail": "int", "yrbuilt": "int"}
 
 

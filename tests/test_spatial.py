@@ -133,11 +133,13 @@ def test_albers_against_known_corner_and_round_trip(spark):
 
 
 def test_snyder_worked_example(spark):
-    """Published numerical example: Clarke 1866 is replaced by GRS80, so only to some metres."""
-    df = spark.createDataFrame([(-75.0, 35.0)], "lon double, lat double")
-    x, y = G.to_albers(F.col("lon"), F.col("lat"), {"lat0": 23.0, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5})
-    got = df.select(x, y).first()
-    assert abs(got[0] - 1885472.7) < 100 and abs(got[1] - 1535925.0) < 100
+    """Published numerical example on the Clarke 1866 ellipsoid, to the tenth of a metre that is printed."""
+    clarke = {"lat0": 23.0, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5, "a": 6378206.4, "f": 1 - (1 - 0.00676866) ** 0.5}
+    df = spark.createDataFrame([(-75.0, 35.0, 1885472.7, 1535925.0)], "lon double, lat double, x double, y double")
+    forward, back = G.to_albers(F.col("lon"), F.col("lat"), clarke), G.from_albers(F.col("x"), F.col("y"), clarke)
+    x, y, lon, lat = df.select(*forward, *back).first()
+    assert abs(x - 1885472.7) < 0.06 and abs(y - 1535925.0) < 0.06
+    assert abs(lon + 75.0) < 1e-6 and abs(lat - 35.0) < 1e-6
 
 
 @pytest.mark.parametrize("scale", [2.0 ** -40, 2.0 ** 60])
