@@ -158,6 +158,34 @@ def _(spark, d):
     return result
 
 
+@query("model_compare_fitted", "model s, auc f, corner f, points_ok i", """
+    SELECT unnest(['boosted', 'forest', 'logistic']) AS model, 1.0 AS auc, 1.0 AS corner, 1 AS points_ok""")
+def _(spark, d):
+    """Curves of three fitted models side by side: all reach every positive before any negative, and end at (1, 1)."""
+    rows = decided_rows(spark, d)
+    scores = {name: ML.scored(p.fit(rows), rows, ["label"]) for name, p in _decided_pipelines(rows, select=False).items()}
+    curves = evaluation.compare_models(scores)
+    ends = (F.max("fpr") == 1) & (F.max("tpr") == 1) & (F.min("fpr") == 0) & (F.min("tpr") == 0)
+    return curves.groupBy("model").agg(F.max("auc").alias("auc"), F.max(F.when(F.col("fpr") == 0, F.col("tpr"))).alias("corner"), ends.cast("int").alias("points_ok"))
+
+
+_CHOSEN = 50
+
+
+@query("fitted_rates", "kind s, model f, previous f, random f", f"""
+    WITH q AS (SELECT CAST(key AS VARCHAR) AS key, label, CASE WHEN nation >= 18 OR nation < 4 THEN 1 ELSE 0 END AS previous FROM ({_DECIDED_SQL}) d),
+      top AS (SELECT label FROM q ORDER BY previous DESC, key LIMIT {_CHOSEN})
+    SELECT 'hit' AS kind, 1.0 AS model, (SELECT sum(label) FROM top) / {_CHOSEN}.0 AS previous, avg(label) AS random FROM q
+    UNION ALL SELECT 'capture', {_CHOSEN}.0 / sum(label), (SELECT sum(label) FROM top) * 1.0 / sum(label), {_CHOSEN}.0 / count(*) FROM q""")
+def _(spark, d):
+    """Hit and capture rate of the blocks that a fitted forest ranks first, beside a previous count and chance."""
+    rows = decided_rows(spark, d).withColumn("previous", ((F.col("nation") >= 18) | (F.col("nation") < 4)).cast("int"))
+    outcomes = ML.scored(_decided_pipelines(rows, select=True)["forest"].fit(rows), rows, ["key", "label", "previous"])
+    parts = {"hit": risk.hit_rate_at_n, "capture": risk.capture_rate_at_n}
+    tables = [rate(outcomes, _CHOSEN, "label", "previous", key="key").select(F.lit(kind).alias("kind"), "model", "previous", "random") for kind, rate in parts.items()]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @query("decided_features", "model s, feature s", """
     SELECT unnest(['boosted', 'forest', 'logistic']) AS model, 'nation' AS feature""")
 def _(spark, d):
