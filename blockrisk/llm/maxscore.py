@@ -11,10 +11,12 @@ and a tie with the k-th score stays in. Shards' k best are merged by a window pe
 Vectors are dealt over shards and queries over blocks by hash; a task holds one block and one
 shard, both of bounded size, whatever the tables hold.
 
-Cases: vectors that are null, empty, or hold a null, NaN or infinite component take no part;
-vectors of different length count as zero where they end; repeated rows of an id are that many
-candidates, but a query never meets a row of its own id; an empty table, or one without queries,
-gives no rows; fewer than k candidates give as many rows; further columns are ignored.
+Cases: vectors that are null or hold a null, NaN or infinite component take no part; vectors of
+different length count as zero where they end, so an empty one scores 0; repeated rows of an id are
+that many candidates, but a query never meets a row of its own id; a query row that is there twice is
+answered twice; a row without an id is a candidate, the last among ties, and no query (the largest
+64-bit number stands for no id); an empty table, or one without queries, gives no rows; fewer
+than k candidates give as many rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blockrisk.llm.frames import written
+
 SHARD_VECTORS, BLOCK_QUERIES = 8192, 2048
 PROBE_TERMS = 4
 WARM_UP = 64
-RESULT = "query_id long, vec_id long, score long"
+RESULT = "query_id long, asked long, vec_id long, score long"
+NO_ID = np.iinfo(np.int64).max
 
 
 def integer_weights(vector: Column, scale: int) -> Column:
@@ -38,7 +43,7 @@ def integer_weights(vector: Column, scale: int) -> Column:
 
 def usable(vector: Column) -> Column:
     bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == F.lit(math.inf))
-    return vector.isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, bad)
+    return vector.isNotNull() & ~F.exists(vector, bad)
 
 
 class Shard:
@@ -92,33 +97,37 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
 
     def prepared(table: DataFrame) -> DataFrame:
         vector = F.col(f"`{vector_col}`")
-        return table.where(usable(vector) & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), integer_weights(vector, scale).alias("weights"))
+        return table.where(usable(vector)).select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("vec_id"), integer_weights(vector, scale).alias("weights"))
 
-    vectors, queries = prepared(vectors), prepared(queries)
+    vectors, queries = prepared(vectors), prepared(queries).where(F.col("vec_id") != NO_ID)
+    # stored, so that a query row's number is the same in every shard
+    queries = written(queries.withColumn("asked", F.monotonically_increasing_id()), "queries")
     shards, blocks = (max(1, math.ceil(t.count() / size)) for t, size in ((vectors, SHARD_VECTORS), (queries, BLOCK_QUERIES)))
     dealt = lambda n: F.pmod(F.xxhash64("vec_id", "weights"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = vectors.select("vec_id", "weights", F.lit(False).alias("is_query"), dealt(shards).alias("shard"), every(blocks).alias("block"))
-    right = queries.select("vec_id", "weights", F.lit(True).alias("is_query"), dealt(blocks).alias("block"), every(shards).alias("shard"))
+    left = vectors.select("vec_id", F.lit(-1).cast("long").alias("asked"), "weights", dealt(shards).alias("shard"), every(blocks).alias("block"))
+    right = queries.select("vec_id", "asked", "weights", dealt(blocks).alias("block"), every(shards).alias("shard"))
 
     def search(table: pa.Table) -> pa.Table:
         import pyarrow.compute as pc
 
         table = table.combine_chunks()
         weights = table.column("weights").combine_chunks() if isinstance(table.column("weights"), pa.ChunkedArray) else table.column("weights")
-        terms = int(pc.max(pc.list_value_length(weights)).as_py())
+        terms = max(1, int(pc.max(pc.list_value_length(weights)).as_py()))
         matrix, ids = _matrix(weights, terms), table.column("vec_id").to_numpy()
-        asked = table.column("is_query").to_numpy()
+        number = table.column("asked").to_numpy()
+        asked = number >= 0
         peak = np.abs(matrix.astype(np.float64)).max(0)
         if float((peak * peak).sum()) < 2.0**52:
             matrix = matrix.astype(np.float64)
         shard, found = Shard(ids[~asked], matrix[~asked]), []
-        for query_id, query in zip(ids[asked], matrix[asked]):
+        for query_id, one, query in zip(ids[asked], number[asked], matrix[asked]):
             best, scores = shard.search(query_id, query, k)
-            found.append((np.full(len(best), query_id), best, scores.astype(np.int64)))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+            found.append((np.full(len(best), query_id), np.full(len(best), one), best, scores.astype(np.int64)))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "asked", "vec_id", "score"])
 
     parts = left.unionByName(right).groupBy("shard", "block").applyInArrow(search, RESULT)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return parts.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id"))
+    first = parts.withColumn("rank", rank).where(F.col("rank") <= k)
+    return first.select("query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score")

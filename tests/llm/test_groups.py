@@ -165,6 +165,18 @@ def test_top_k(spark):
     assert M.top_k(table.limit(0), table.limit(0), 5).collect() == []
 
 
+def test_top_k_of_doubled_queries_empty_vectors_and_missing_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (3, []), (4, [-1.0]), (None, [0.5]), (None, [0.25, 9.0]), (5, [0.5, 3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in M.top_k(table, table.where("vec_id = 1"), 3).collect() if r.vec_id is not None)
+    # two equal query rows have two equal answers; of equal scores the row without an id comes last
+    assert got == sorted(2 * [(1, 1, 2, 32768), (1, 2, 5, 32768)])
+    whole = M.top_k(table, table.where("vec_id = 3"), 9).collect()
+    assert sorted((r.rank, r.vec_id, r.score) for r in whole if r.vec_id is not None) == [(1, 1, 0), (2, 1, 0), (3, 2, 0), (4, 4, 0), (5, 5, 0)]
+    assert [(r.rank, r.score) for r in whole if r.vec_id is None] == [(6, 0), (7, 0)]
+    assert {r.vec_id for r in M.top_k(table, table.where("vec_id = 1 and embedding[0] = 1"), 9).collect()} == {2, 3, 4, 5, None}
+
+
 def test_shard_search_equals_full_scores():
     rng = np.random.default_rng(4)
     ids, weights = np.arange(900), rng.integers(-300, 300, (900, 24)).astype(np.float64)
