@@ -7,7 +7,7 @@ import pytest
 from blockrisk.ml import pipelines as ML
 from blockrisk.ml import tune
 from blockrisk.workload import models
-from blockrisk.workload.registry import QUERIES
+from blockrisk.workload.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -58,3 +58,19 @@ def test_models_are_as_large_as_the_grids_ask(spark, monkeypatch, name, maker, g
     monkeypatch.setattr(models.ML, maker, stop)
     with pytest.raises(Stopped):
         QUERIES[name](spark, FOLDER)
+
+
+def test_risk_pipeline_takes_all_blocks(spark, monkeypatch):
+    """Neither the table of the query nor that of its SQL is cut to the city."""
+    whole = inspect.signature(models.features.yearly_feature_table)
+
+    def table(*args, **settings):
+        asked = whole.bind(*args, **settings)
+        asked.apply_defaults()
+        assert asked.arguments["box"] is None
+        raise Stopped
+
+    monkeypatch.setattr(models.features, "yearly_feature_table", table)
+    with pytest.raises(Stopped):
+        QUERIES["risk_pipeline"](spark, FOLDER)
+    assert "INTPTLON10\" AS DOUBLE" not in ORACLES["risk_pipeline"]
