@@ -30,6 +30,8 @@ from blockrisk.session import materialize
 PARALLELISM = 8
 #: Fits of small tables need no more tasks than this many rows ask for.
 ROWS_PER_TASK = 1 << 16
+#: Rows that a single fit reads are dealt over the cores, unless a task would get fewer than this.
+LEAST_PER_TASK = 1 << 12
 #: Parameters that only lengthen the list of trees.
 LENGTHS = ("numTrees", "maxIter")
 
@@ -106,7 +108,18 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
 
 
-def _side_by_side(spark, work: Callable, items: Sequence, parallelism: int) -> list:
+def dealt(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df``, of about so many rows, dealt by key over the tasks of a fit and ordered in each.
+
+    Joins and aggregates leave small tables in one task, which then fits alone. The order makes a seed
+    draw the same rows every time.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(math.ceil(rows / ROWS_PER_TASK), min(cores, math.ceil(rows / LEAST_PER_TASK)), 1)
+    return df.repartition(tasks, key).sortWithinPartitions(key)
+
+
+def side_by_side(spark, work: Callable, items: Sequence, parallelism: int) -> list:
     """Results in order, from a pool of threads that hand their Spark properties on."""
     pool = ThreadPool(max(1, min(parallelism, len(items))))
     try:
@@ -147,7 +160,7 @@ def search_areas(
     weights = {v for c in grid for p, v in c.items() if p.name == "weightCol"}
     if classifier.isDefined("weightCol") and classifier.getWeightCol():
         weights.add(classifier.getWeightCol())
-    encoded = _side_by_side(train.sparkSession, lambda f: encoded_fold(pipeline, folded, f, sorted(weights)), range(folds), parallelism)
+    encoded = side_by_side(train.sparkSession, lambda f: encoded_fold(pipeline, folded, f, sorted(weights)), range(folds), parallelism)
 
     def fit(job: tuple[int, Family]) -> dict[int, float]:
         fold, family = job
@@ -158,7 +171,7 @@ def search_areas(
     jobs = [(fold, family) for family in families(pipeline, grid) for fold in range(folds)]
     jobs.sort(key=lambda job: [-float(v) for p, v in job[1].params.items() if p.name == "maxDepth"])
     areas: list[list[float]] = [[0.0] * folds for _ in grid]
-    for (fold, _), found in zip(jobs, _side_by_side(train.sparkSession, fit, jobs, parallelism)):
+    for (fold, _), found in zip(jobs, side_by_side(train.sparkSession, fit, jobs, parallelism)):
         for place, area in found.items():
             areas[place][fold] = area
     return areas
@@ -235,7 +248,7 @@ def learning_curve(
         areas = [float(area_evaluator().evaluate(model.transform(rows))) for rows in (part, ranked.filter(F.col("fold") == fold))]
         return float(fraction), size, *areas
 
-    points = _side_by_side(spark, point, [(k, f) for f in sorted(fractions, reverse=True) for k in range(folds)], parallelism)
+    points = side_by_side(spark, point, [(k, f) for f in sorted(fractions, reverse=True) for k in range(folds)], parallelism)
     # One row per fold and size.
     table = spark.createDataFrame(
         points, "fraction double, rows long, train double, validation double"

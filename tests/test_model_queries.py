@@ -74,3 +74,14 @@ def test_risk_pipeline_takes_all_blocks(spark, monkeypatch):
     with pytest.raises(Stopped):
         QUERIES["risk_pipeline"](spark, FOLDER)
     assert "INTPTLON10\" AS DOUBLE" not in ORACLES["risk_pipeline"]
+
+
+def test_rows_to_fit_on_are_dealt_over_the_cores(spark, tmp_path):
+    people = spark.range(2000).selectExpr("id AS c_custkey", "double(id % 90) AS c_acctbal", "int(id % 25) AS c_nationkey")
+    people.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(500).selectExpr(
+        "id AS o_orderkey", "id * 3 AS o_custkey", "date'1996-03-01' + int(id % 900) AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority", "'F' AS o_orderstatus", "double(id) AS o_totalprice",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    sizes = models.model_rows(spark, str(tmp_path)).rdd.glom().map(len).collect()
+    assert sum(sizes) == 12_000 and len(sizes) > 1 and max(sizes) < 8_000
