@@ -141,3 +141,10 @@ def test_hash_split_is_repeatable(spark, data):
     one, two = M.hash_split(data, "key"), M.hash_split(data.repartition(7), "key")
     assert rows(one, "key", "is_test") == rows(two, "key", "is_test")
     assert 0.2 < one.agg(F.avg("is_test")).first()[0] < 0.4
+
+
+def test_rows_are_dealt_over_the_tasks_of_a_fit(spark):
+    one = spark.range(200_000, numPartitions=1).selectExpr("string(id) AS key")
+    sizes = tune.dealt(one, "key", 200_000).rdd.glom().map(len).collect()
+    assert sum(sizes) == 200_000 and len(sizes) == 4 and max(sizes) < 100_000
+    assert tune.dealt(one, "key", 1000).rdd.getNumPartitions() == 1
