@@ -85,3 +85,11 @@ def test_rows_to_fit_on_are_dealt_over_the_cores(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/orders.parquet")
     sizes = models.model_rows(spark, str(tmp_path)).rdd.glom().map(len).collect()
     assert sum(sizes) == 12_000 and len(sizes) > 1 and max(sizes) < 8_000
+
+
+@pytest.mark.parametrize("name", ["centroid", "centroid_multipart"])
+def test_centroids_are_made_by_many_tasks(spark, tmp_path, name):
+    parts = spark.range(3000, numPartitions=1).selectExpr("id AS p_partkey", "'x' AS p_type", "int(id % 50) AS p_size")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    sizes = QUERIES[name](spark, str(tmp_path)).rdd.glom().map(len).collect()
+    assert sum(sizes) == 3000 and max(sizes) < 1500
