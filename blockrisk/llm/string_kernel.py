@@ -60,6 +60,11 @@ def _words_of(number: str) -> dict[str, float]:
     return _WORDS.setdefault(number, {})
 
 
+def forget_words() -> None:
+    """Drops the scored words of all models: another stage needs the memory of this worker now."""
+    _WORDS.clear()
+
+
 def word_lists(texts: pa.Array) -> pa.Array:
     """For each text its words of letters: marks inside words dropped, single letters in a row joined."""
     low = pc.utf8_lower(texts)
