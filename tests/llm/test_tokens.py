@@ -177,3 +177,18 @@ def test_decode_of_broken_bytes():
     tool, own = library(BYTE), N.coder(BYTE)
     for ids in ([own.of_byte[0xE6], own.of_byte[0xBC]], [own.of_byte[0xFF], 50256], [own.of_byte[0xF0], own.of_byte[0x41]]):
         assert own.decode(np.array(ids, np.uint32)) == tool.decode([int(i) for i in ids], skip_special_tokens=False)
+
+
+def test_texts_go_to_packing_in_small_batches(spark, monkeypatch):
+    """Batches of texts stay small while they are cut, and the session's own size comes back."""
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], B.written
+
+    def written(df, name):
+        seen.append((name, int(spark.conf.get(key))))
+        return write(df, name)
+
+    monkeypatch.setattr(B, "written", written)
+    before = spark.conf.get(key)
+    docs = spark.range(3).selectExpr("id AS doc_id", "repeat('word ', 9) AS text")
+    assert B.pack_documents(docs, "word_bpe_49k.json", 1).count() == 3
+    assert seen[0] == ("pieces", 512) and seen[1] == ("packed", int(before)) and spark.conf.get(key) == before
