@@ -10,10 +10,12 @@ scored as a model of their own, and their sums give every size in one pass over
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from blockrisk.ml.split import stratified_folds
 from blockrisk.operators.ranking import running_totals
-from blockrisk.session import materialize
+from blockrisk.session import materialize, stored
 
 #: Fits that run side by side; each keeps its rows in memory, or on disk beyond it.
 PARALLELISM = 8
@@ -41,6 +43,41 @@ def area_evaluator(score: str = "rawPrediction") -> BinaryClassificationEvaluato
     return BinaryClassificationEvaluator(rawPredictionCol=score, metricName="areaUnderROC", numBins=0)
 
 
+def _pairs_in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each side of one range of scores: its least score, labels 1 and 0, and twice the pairs that are in order."""
+    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+    if not parts:
+        return
+    sides, scores, labels = (np.concatenate(x) for x in zip(*parts))
+    for side in np.unique(sides):
+        values, place = np.unique(scores[sides == side], return_inverse=True)
+        label = labels[sides == side]
+        ones, zeros = (np.bincount(place[label == k], minlength=len(values)) for k in (True, False))
+        below = np.cumsum(zeros) - zeros
+        row = [int(side), float(values[0]), int(ones.sum()), int(zeros.sum()), int((ones * (2 * below + zeros)).sum())]
+        yield pa.RecordBatch.from_pylist([dict(zip(("side", "least", "ones", "zeros", "pairs"), row))])
+
+
+def side_areas(scored: DataFrame, rows: int) -> dict[int, float]:
+    """Exact area under the ROC curve for every ``side`` of about so many rows (side long, score double, label boolean).
+
+    Rows are dealt once by ranges of side and score. Each range counts the pairs within it; what comes back is a row
+    for each range, and ranges of lower scores lie below as a whole. Equal scores share a range and count half.
+    """
+    ranges = max(1, math.ceil(rows / ROWS_PER_TASK))
+    dealt_rows = scored.repartitionByRange(ranges, "side", "score").select("side", "score", "label")
+    found = dealt_rows.mapInArrow(_pairs_in_range, "side long, least double, ones long, zeros long, pairs long").collect()
+    areas = {}
+    for side in {r["side"] for r in found}:
+        ones = zeros = pairs = 0
+        for r in sorted((r for r in found if r["side"] == side), key=lambda r: r["least"]):
+            pairs += r["pairs"] + 2 * zeros * r["ones"]
+            ones, zeros = ones + r["ones"], zeros + r["zeros"]
+        # with a single label the curve runs along an axis, as the evaluator has it
+        areas[side] = pairs / (2 * ones * zeros) if ones and zeros else float(ones > 0)
+    return areas
+
+
 @dataclass
 class Family:
     """Candidates that one fit answers for: their places in the grid by number of trees."""
@@ -230,12 +267,14 @@ def learning_curve(
 
     The sizes are nested: each takes the first rows, in key order, of the fold's
     training part. Rows are ranked once for all folds and stored; a size is a range of
-    their places, and the fits run side by side. Parts that have a single label give no
+    their places, and the fits run side by side. Both areas of a fit come from one pass
+    over its rows. Parts that have a single label give no
     model: ``fits`` says how many folds the figures of a size rest on, which are null
     where none does.
     """
     spark = train.sparkSession
-    ranked = materialize(_sized(ranked_folds(train, key, folds), train.count()))
+    whole = train.count()
+    ranked = stored(_sized(ranked_folds(train, key, folds), whole), "curve")
     sizes = training_sizes(ranked, fractions, folds)
 
     def point(job: tuple[int, float]) -> tuple:
@@ -245,8 +284,13 @@ def learning_curve(
             return float(fraction), size, None, None
         part = ranked.filter((F.col("fold") != fold) & (F.col(f"_row{fold}") <= size))
         model = pipeline.fit(part)
-        areas = [float(area_evaluator().evaluate(model.transform(rows))) for rows in (part, ranked.filter(F.col("fold") == fold))]
-        return float(fraction), size, *areas
+        held = F.col("fold") == fold
+        scored = model.transform(ranked.filter(held | ((F.col("fold") != fold) & (F.col(f"_row{fold}") <= size))))
+        areas = side_areas(scored.select(
+            held.cast("long").alias("side"), vector_to_array("rawPrediction")[1].alias("score"), (F.col("label") > 0.5).alias("label"),
+        ), size + whole // folds)
+        # a fold without rows has the curve of chance
+        return float(fraction), size, areas[0], areas.get(1, 0.5)
 
     points = side_by_side(spark, point, [(k, f) for f in sorted(fractions, reverse=True) for k in range(folds)], parallelism)
     # One row per fold and size.

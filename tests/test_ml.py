@@ -148,3 +148,25 @@ def test_rows_are_dealt_over_the_tasks_of_a_fit(spark):
     sizes = tune.dealt(one, "key", 200_000).rdd.glom().map(len).collect()
     assert sum(sizes) == 200_000 and len(sizes) == 4 and max(sizes) < 100_000
     assert tune.dealt(one, "key", 1000).rdd.getNumPartitions() == 1
+
+
+def test_areas_of_many_ranges_equal_the_evaluators(spark, monkeypatch):
+    monkeypatch.setattr(tune, "ROWS_PER_TASK", 50)
+    scored = spark.range(600).selectExpr("id % 2 AS side", "double((id * 37) % 83) AS score", "(id * 11) % 7 < 3 AS label")
+    found = tune.side_areas(scored, 600)
+    for side in (0, 1):
+        one = scored.filter(F.col("side") == side).select("score", F.col("label").cast("double").alias("label"))
+        assert abs(found[side] - tune.area_evaluator("score").evaluate(one)) < 1e-12
+    for label, area in (("true", 1.0), ("false", 0.0)):
+        single = spark.range(9).selectExpr("0L AS side", "double(id) AS score", f"{label} AS label")
+        alone = single.select("score", F.col("label").cast("double").alias("label"))
+        assert tune.side_areas(single, 9) == {0: area} == {0: tune.area_evaluator("score").evaluate(alone)}
+
+
+def test_a_fit_of_the_curve_needs_no_evaluation_of_its_own(spark, data, monkeypatch):
+    def stop(score="rawPrediction"):
+        raise AssertionError("rows are scored and sorted once for both areas")
+
+    monkeypatch.setattr(tune, "area_evaluator", stop)
+    curve = tune.learning_curve(ML.logistic_pipeline(FEATURES, select=False, rows=400), data, "key", fractions=(0.2, 1.0), folds=2)
+    assert all(r["train_mean"] > 0.9 and r["validation_mean"] > 0.9 for r in curve.collect())
