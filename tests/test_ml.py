@@ -1,6 +1,6 @@
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -71,6 +71,22 @@ def test_prefixes_of_boosted_trees_equal_their_own_fits(spark, data):
         assert joined.count() == 400 and joined.filter(F.abs(F.col(f"score_{n}") - F.col("own")) > 1e-9).isEmpty()
 
 
+def test_boosting_carries_few_rounds_in_its_jobs_and_grows_the_same_trees(spark, data, monkeypatch):
+    asked = []
+    fit = GBTClassifier._fit
+
+    def fitting(self, dataset):
+        asked.append(self.getCheckpointInterval())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(GBTClassifier, "_fit", fitting)
+    trees, noisy = [], data.withColumn("label", (F.col("id") * 7 % 5 < 2).cast("int"))
+    for settings in ({}, {"checkpointInterval": 10}):
+        pipeline = ML.boosted_pipeline(FEATURES, seed=1, maxIter=5, maxDepth=3, **settings)
+        trees.append(pipeline.fit(noisy).stages[-1].toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1] and asked == [2, 2, 2, 10]
+
+
 def test_prefixes_of_a_forest_are_its_first_trees(spark, data):
     encoded = tune.encoded_fold(ML.forest_pipeline(FEATURES, select=False, seed=1), data.withColumn("fold", F.lit(0)), 1, ["key"])
     classifier = ML.forest_pipeline(FEATURES, select=False, seed=1, numTrees=6, maxDepth=4).getStages()[-1]

@@ -1,6 +1,7 @@
 """The model queries run over the grids, sizes and folds of the operators themselves."""
 
 import inspect
+import threading
 
 import pytest
 
@@ -45,6 +46,19 @@ def test_grid_search_takes_every_grid_over_five_folds(spark, monkeypatch):
     assert got.select("parameters").distinct().count() == 93
 
 
+def test_grid_searches_run_at_the_same_time(spark, monkeypatch):
+    """Each waits for the other two, which one after the other never come."""
+    met = threading.Barrier(3, timeout=30)
+
+    def search(pipeline, grid, train, key, folds=5, parallelism=1):
+        met.wait()
+        return None, spark.createDataFrame([(str(len(grid)), 0.5, 0.0)], "parameters string, mean_auc double, std_auc double")
+
+    monkeypatch.setattr(tune, "grid_search", search)
+    got = QUERIES["grid_search_results"](spark, FOLDER)
+    assert [r["parameters"] for r in got.collect()] == ["27", "12", "54"]
+
+
 @pytest.mark.parametrize("name, maker, grid", [
     ("rf_scores", "forest_pipeline", ML.FINAL_FOREST_GRID), ("selected_features", "forest_pipeline", ML.FINAL_FOREST_GRID),
     ("feature_importances", "forest_pipeline", ML.FINAL_FOREST_GRID), ("holdout_auc", "forest_pipeline", ML.FINAL_FOREST_GRID),
