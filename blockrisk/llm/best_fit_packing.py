@@ -24,17 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockrisk.llm import string_kernel
 from blockrisk.llm.bit_packing import encoded
-from blockrisk.llm.frames import id_and_text, slices, split_points, written
+from blockrisk.llm.frames import TEXT_BATCH, id_and_text, keep_only, slices, split_points, written
 from blockrisk.session import settings
 
 GROUP_PIECES = 4096
 #: Bins whose gap is at least this share of a sequence are packed again with those of other groups.
 OPEN_GAP = 1 / 16
 MOST_ROUNDS = 8
-#: Whole texts are read and go to the tokenizer so many rows at a time: both batches are held in memory.
-TEXT_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.parquet.columnarReaderBatchSize": "512"}
 #: Bytes of text encoded at once: arrays of ids and places take some twenty times as much.
 CUT_BYTES = 1 << 20
 
@@ -157,9 +154,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        # a worker that served other stages gives back what it kept for them
-        string_kernel.forget_words()
-        pa.default_memory_pool().release_unused()
+        keep_only("chunks")
         task, seen = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, "text", CUT_BYTES):

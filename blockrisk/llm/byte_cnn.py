@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockrisk.llm.frames import id_and_text, scored_rows, slices, split_points, strings_of
+from blockrisk.llm.frames import SCORE_BYTES, id_and_text, keep_only, scored_rows, slices, split_points, strings_of
 from blockrisk.llm.labelled_sample import held_out, labelled_sample
 
 CHUNK, STRIDE, WIDTH, FILTERS, HIDDEN = 16, 8, 6, 24, 16
@@ -171,8 +171,9 @@ def score_quality(docs: DataFrame, model: ByteCnn) -> DataFrame:
     """doc_id, score for every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCORE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(strings_of(part.column("text"))))], names=["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, RESULT)

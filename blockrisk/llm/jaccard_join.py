@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockrisk.llm.components import connected_components
-from blockrisk.llm.frames import id_and_text, shuffle_partitions, slices, split_points, strings_of, with_place, written
+from blockrisk.llm.frames import SCORE_BYTES, TEXT_BATCH, id_and_text, keep_only, shuffle_partitions, slices, split_points, strings_of, with_place, written
+from blockrisk.session import settings
 
 WORDS, PERCENT = 5, 80
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -91,8 +92,9 @@ def _keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, file, row, n, print (128 bits of the set), key (64 of them), prefix under order A."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCORE_BYTES):
                 sets = shingle_sets(strings_of(part.column("text")), words)
                 prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 prefixes = [s[: len(s) - needed(len(s), percent) + 1 + slack(len(s))] if len(s) else s for s in sets]
@@ -175,8 +177,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, percent: int) -> Da
     """class_id, n, tokens (order A), prefix_b of the wanted classes, from their texts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCORE_BYTES):
                 sets = shingle_sets(strings_of(part.column("text")), words)
                 prefixes = [s[np.argsort(_finish(s * _ORDER_B))[: len(s) - needed(len(s), percent) + 1]] if len(s) else s for s in sets]
                 columns = [pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())]
@@ -261,14 +264,16 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     """The rows with words (doc_id, file, row, n, label, component_id) and those without (doc_id, file, row, n)."""
     placed, file, row = with_place(docs)
     rows = id_and_text(placed, further={file: "file", row: "row"})
-    keys = written(_keys(rows, words, percent), "shingle-keys")
+    with settings(docs.sparkSession, TEXT_BATCH):
+        keys = written(_keys(rows, words, percent), "shingle-keys")
     least = (F.min("doc_id").alias("rep_doc"), F.min(F.xxhash64("file", "row")).alias("rep_place"))
     classes = keys.where("n > 0").groupBy("print").agg(F.first("key").alias("key"), F.first("n").alias("n"), *least)
     classes = written(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     enough = F.greatest(F.lit(1), F.floor(_needed(F.col("n"), percent) / 10))
     wanted = classes.join(_shared_prefix_counts(keys), "key").where((F.col("hits") >= enough)).select("print", "class_id", "n", "rep_place")
     wanted = written(wanted, "with-partners")
-    sets = written(_sets_of(rows, wanted, words, percent), "sets")
+    with settings(docs.sparkSession, TEXT_BATCH):
+        sets = written(_sets_of(rows, wanted, words, percent), "sets")
     labels = _components(sets, percent)
     named = classes.join(labels, "class_id", "left").select("print", "rep_doc", F.coalesce("label", "class_id").alias("label"))
     names = named.groupBy("label").agg(F.min("rep_doc").alias("component_id"))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from blockrisk.llm.frames import gather_runs, split_points, tokenizer_path
+from blockrisk.llm.frames import KEPT, gather_runs, split_points, tokenizer_path
 
 #: Most chunks kept by a worker; the cache starts anew beyond it. Never changes a result.
 CACHE_CHUNKS = 400_000
@@ -39,6 +39,9 @@ def forget_all() -> None:
         one._forget()
 
 
+KEPT["chunks"] = forget_all
+
+
 def _drops_white_space(spec: dict) -> bool:
     """Whether texts fall apart at white space: \\s+ is replaced and a split keeps matches only."""
     parts = lambda key, of: (spec.get(key) or {}).get(of) or []

@@ -34,8 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from blockrisk.llm import library_tokens
-from blockrisk.llm.frames import id_and_text, scored_rows, slices, split_points, strings_of
+from blockrisk.llm.frames import KEPT, SCORE_BYTES, id_and_text, keep_only, scored_rows, slices, split_points, strings_of
 from blockrisk.llm.labelled_sample import labelled_sample
 
 LENGTH, SPAN, DECAY = 4, 6, 0.6
@@ -46,6 +45,8 @@ SENTENCE_WORDS = 64
 MOST_NEGATIVES = 80_000
 #: A worker keeps the words of the model in use only, and about so many bytes of them.
 CACHE_BYTES, BYTES_PER_WORD = 24 << 20, 160
+#: Words whose features are held at once; each has some ten rows of ``LANDMARKS`` numbers on the way.
+MARGIN_WORDS = 2048
 BEGIN, END = "\x02", "\x03"
 RESULT = "doc_id long, score double"
 _INSIDE = r"([\p{L}])[^\p{L}\s]+([\p{L}])"
@@ -56,7 +57,6 @@ def _words_of(number: str) -> dict[str, float]:
     """The worker's scored words of one model; those of any other are dropped, and all once they are too many."""
     if number not in _WORDS or len(_WORDS[number]) * BYTES_PER_WORD > CACHE_BYTES:
         _WORDS.clear()
-        library_tokens.forget_all()
     return _WORDS.setdefault(number, {})
 
 
@@ -65,6 +65,9 @@ def forget_words() -> None:
     _WORDS.clear()
 
 
+KEPT["words"] = forget_words
+
+
 def word_lists(texts: pa.Array) -> pa.Array:
     """For each text its words of letters: marks inside words dropped, single letters in a row joined."""
     low = pc.utf8_lower(texts)
@@ -173,8 +176,11 @@ class ToxicityModel:
         """Signed distance of each word; very long words count as their worst overlapping window."""
         if self.table is None or not words:
             return np.zeros(len(words))
+        return np.concatenate([self._margins(words[first : first + MARGIN_WORDS]) for first in range(0, len(words), MARGIN_WORDS)])
+
+    def _margins(self, words: list[str]) -> np.ndarray:
         pieces = [_windows(w) for w in words]
-        values = self.table.features([p for ps in pieces for p in ps]) @ self.weights + self.bias
+        values = self.table.features([p for ps in pieces for p in ps], MARGIN_WORDS) @ self.weights + self.bias
         return np.maximum.reduceat(values, split_points(np.array([len(p) for p in pieces], np.int64))[:-1])
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
@@ -348,8 +354,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score for every row of ``docs``; ``keep_mild`` filters the rows themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("words")
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCORE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(strings_of(part.column("text"))))], names=["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, RESULT)
@@ -357,4 +364,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def keep_mild(docs: DataFrame, model: ToxicityModel, most: float) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below ``most``."""
-    return scored_rows(docs, model.score, lambda score: score < most)
+    return scored_rows(docs, model.score, lambda score: score < most, kept="words")

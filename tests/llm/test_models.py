@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from blockrisk.llm import byte_cnn as Q
+from blockrisk.llm import frames
 from blockrisk.llm import labelled_sample as L
 from blockrisk.llm import queries
 from blockrisk.llm import string_kernel as K
@@ -79,6 +80,36 @@ def test_scored_words_belong_to_one_model(monkeypatch):
         assert len(K._WORDS[model.number]) <= 4 + 6
 
 
+def test_scoring_holds_features_of_few_words(monkeypatch):
+    """The features of all new words of a slice are never held at once, and their margins do not depend on that."""
+    model, asked = K.fit(*toy_texts(1, 200)), []
+    words = [f"stup{'abcdefghij'[n % 10]}{'klmnopqrst'[n // 10 % 10]}{'uvwxyz'[n // 100 % 6]}{chr(97 + n // 600)}" for n in range(12_000)] + ["long" * 20]
+    features = K.KernelTable.features
+    monkeypatch.setattr(K.KernelTable, "features", lambda self, pieces, *block: asked.append(len(pieces)) or features(self, pieces, *block))
+    margins = model.margins(words)
+    assert max(asked) <= 4096 and sum(asked) > 12_000
+    assert np.allclose(margins[[0, 5000, 12_000]], [model.margins([words[n]])[0] for n in (0, 5000, 12_000)], rtol=0, atol=1e-12)
+
+
+def test_stages_drop_what_others_keep(spark):
+    """A worker that scored words drops them for the next stage, and keeps them for its own next task."""
+    K._words_of("one")["word"] = 0.5
+    frames.keep_only("words")
+    assert K._WORDS == {"one": {"word": 0.5}}
+    frames.keep_only()
+    assert K._WORDS == {}
+    docs = spark.createDataFrame([(n, f"a quiet garden {n}") for n in range(8)], "doc_id long, text string").coalesce(1)
+    mild, good = K.fit(*toy_texts(1, 100)), Q.fit(*toy_texts(1, 40), epochs=1)
+
+    def words_held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(K._WORDS)] * batch.num_rows)], names=["held"])
+
+    for stage, model, held in ((K.keep_mild, mild, 1), (Q.keep_good, good, 0)):
+        assert stage(docs, model, 2.0 if stage is K.keep_mild else -1.0).count() == 8
+        assert docs.mapInArrow(words_held, "held long").distinct().collect() == [(held,)]
+
+
 def test_models_without_labels():
     assert K.fit(["a b"], [0]).score(pa.array(["idiot", ""])).tolist() == [0, 0]
     assert (Q.fit(["a b"], [1]).score(pa.array(["x", ""])) > 0.99).all()
