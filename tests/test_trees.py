@@ -108,7 +108,7 @@ def test_rows_that_trees_cannot_tell_apart_are_one_cell(spark, data):
 def test_a_search_makes_the_cells_of_a_fold_once(spark, data, monkeypatch):
     made, whole = [], trees.cells_of
     monkeypatch.setattr(trees, "cells_of", lambda rows, cuts: made.append(1) or whole(rows, cuts))
-    pipeline = ML.boosted_pipeline(FEATURES, select=False, seed=1)
+    pipeline = ML.boosted_pipeline(FEATURES, select=False, seed=1, on_cells=True)
     grid = ML.grid_of(pipeline, {"maxIter": [1, 2], "maxDepth": [1, 3], "minInstancesPerNode": [5, 9]})
     areas = tune.search_areas(pipeline, grid, data.drop("features"), "key", folds=2)
     assert len(made) == 2 and len(areas) == 8 and all(min(a) > 0.7 for a in areas)
